@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from .common import slices
+from .common import ship, slices
 
 #: Distinct pre-tokens that a worker remembers.
 MEMO_SIZE = 500_000
@@ -128,6 +128,7 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, text_col: str =
     vocabulary: file of base64 tokens and ranks, read on the driver (tens of thousands of entries, so the model
     that goes to the workers has a fixed size). Each document is encoded by itself: no shuffle, no skew.
     """
+    ship(df.sparkSession)
     model = df.sparkSession.sparkContext.broadcast(build_model(read_ranks(vocabulary)))
     kept = [f for f in df.schema.fields if f.name not in OUTPUTS]
     names = [f.name for f in kept]

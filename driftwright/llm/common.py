@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,25 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 512
 
 _folders: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application; on a cluster they may not have it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="driftwright-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

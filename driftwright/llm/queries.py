@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
-from .common import table
+from . import bpe, langid
+from .common import crc_remainder, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +19,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_remainder(F.col("doc_id")) == 2
+    models = langid.train(docs, ~held_out)
+    found = langid.identify(docs.select("doc_id", "text"), models)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id}
 
 ORACLES: dict[str, str] = {}
