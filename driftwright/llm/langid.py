@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .common import ship, slices
 
-WORDS = re.compile(r"[^\W\d_]+").findall
+_WHOLE, _RUNS = re.compile(r"\b[^\W\d_]+\b").findall, re.compile(r"[^\W\d_]+").findall
 BEGIN, END = 0x110000, 0x110001
 ORDER = 5
 #: Documents per language that the models are fitted to.
@@ -37,13 +37,19 @@ TRAIN_DOCS = 500
 #: Of these, one in so many only calibrates the rejection.
 CALIBRATION = 5
 #: Standard deviations above the mean cross-entropy, and bits beside, from which a document is rejected.
-REJECT_SD, REJECT_BITS = 6.0, 0.5
+REJECT_SD, REJECT_BITS = 6.0, 1.0
 #: Sharpness of the score: natural-log units per bit of difference in cross-entropy.
 SHARPNESS = 12.0
 MEMO_SIZE = 400_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def find_words(text: str) -> list[str]:
+    """Lower-cased words; letter runs inside codes and numbers only where there is no other word."""
+    low = text.lower()
+    return _WHOLE(low) or _RUNS(low)
+
+
 def _spell(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the words with their marks, end to end; and each word's length with marks."""
     sizes = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
@@ -170,7 +176,7 @@ def calibrate(models: Models, texts: list[tuple[str, str]]) -> None:
     """Mean cross-entropy of each language's own texts, and its variance between documents and within them."""
     found: dict[int, list[tuple[float, float]]] = {}
     for lang, text in texts:
-        words = [w for w in WORDS(text.lower()) if any(map(str.isalpha, w))]
+        words = [w for w in find_words(text) if any(map(str.isalpha, w))]
         if lang in models.languages and len(words) >= 5:
             k = models.languages.index(lang)
             scores = models.word_scores(words)
@@ -207,7 +213,7 @@ class Identifier:
 
     def predict(self, text: str | None) -> tuple[str, float, float | None, bool]:
         """Language, score, cross-entropy in bits per character, rejected or not."""
-        words = WORDS((text or "").lower()) if self.models.languages else []
+        words = find_words(text or "") if self.models.languages else []
         missing = set(words).difference(self._index)
         if missing and len(self._index) > MEMO_SIZE:  # only a memo: emptying it changes no result
             self._index.clear()

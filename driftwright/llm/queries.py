@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, langid, secret_scan
 from .common import crc_remainder, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
@@ -27,6 +27,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id}
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secret_scan.scan(docs, ["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] != "generic")
+    number = lambda field, value: F.size(F.filter("spans", lambda s: s[field] == value)).cast("long").alias(f"n_{value}")
+    counts = [number("kind", kind) for kind in secret_scan.BASE_KINDS]
+    verdicts = [number("verdict", v) for v in ("live", "shared", "example")]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.written(base), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"), *verdicts)
+
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op9_secret_scan": op9_secret_scan}
 
 ORACLES: dict[str, str] = {}
