@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, secret_scan
+from . import bpe, decontaminate, langid, secret_scan
 from .common import crc_remainder, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
@@ -37,6 +37,21 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secret_scan.written(base), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"), *verdicts)
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op9_secret_scan": op9_secret_scan}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
-ORACLES: dict[str, str] = {}
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
+
+#: Words, shingles and containment as SQL says them; ids of pairs with their counts.
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+b AS (SELECT item_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+ds AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM d WHERE len(w) >= 5),
+bs AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM b WHERE len(w) >= 5),
+n AS (SELECT id, count(*) AS n FROM bs GROUP BY id)
+SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS shared, n.n AS n_shingles, count(*) / n.n AS containment
+FROM ds JOIN bs USING (s) JOIN n ON n.id = bs.id GROUP BY ds.id, bs.id, n.n HAVING count(*) >= ceil(n.n * 0.8 - 1e-9)
+"""
+
+ORACLES: dict[str, str] = {"op8_decontamination": OP8_SQL}
