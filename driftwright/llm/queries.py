@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, secret_scan
+from . import bpe, decontaminate, langid, near_dup, secret_scan
 from .common import crc_remainder, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
@@ -41,7 +41,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op5_near_duplicates": op5_near_duplicates, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
 
 #: Words, shingles and containment as SQL says them; ids of pairs with their counts.
 OP8_SQL = r"""
