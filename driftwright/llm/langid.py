@@ -282,3 +282,11 @@ def identify(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame
             )
 
     return df.mapInArrow(run, schema)
+
+
+def accepted(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not rejected, with their own columns."""
+    own = df.columns
+    renamed = df.toDF(*(f"in_{k}" for k in range(len(own))))  # names of the input may clash with the outputs
+    found = identify(renamed, models, f"in_{own.index(text_col)}").where(~F.col("rejected"))
+    return found.select(*(F.col(f"in_{k}").alias(name) for k, name in enumerate(own)))
