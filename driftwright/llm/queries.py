@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, near_dup, secret_scan
+from . import bpe, decontaminate, langid, near_dup, secret_scan, topk
 from .common import crc_remainder, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
@@ -45,7 +45,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op5_near_duplicates": op5_near_duplicates, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op4_exact_top_k": op4_exact_top_k, "op5_near_duplicates": op5_near_duplicates, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
 
 #: Words, shingles and containment as SQL says them; ids of pairs with their counts.
 OP8_SQL = r"""
@@ -58,4 +62,12 @@ SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS shared, n.n AS n_shingles,
 FROM ds JOIN bs USING (s) JOIN n ON n.id = bs.id GROUP BY ds.id, bs.id, n.n HAVING count(*) >= ceil(n.n * 0.8 - 1e-9)
 """
 
-ORACLES: dict[str, str] = {"op8_decontamination": OP8_SQL}
+OP4_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+ORACLES: dict[str, str] = {"op4_exact_top_k": OP4_SQL, "op8_decontamination": OP8_SQL}
