@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, near_dup, secret_scan, topk, toxicity
+from . import bpe, decontaminate, html_extract, langid, near_dup, secret_scan, topk, toxicity
 from .common import crc_remainder, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
@@ -49,6 +49,10 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 #: A document is predicted toxic from this score on.
 TOXIC_FROM = 0.3
 
@@ -61,7 +65,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "clauses")
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op4_exact_top_k": op4_exact_top_k, "op5_near_duplicates": op5_near_duplicates, "op7_toxicity": op7_toxicity, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op4_exact_top_k": op4_exact_top_k, "op5_near_duplicates": op5_near_duplicates, "op6_html_extraction": op6_html_extraction, "op7_toxicity": op7_toxicity, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
 
 #: Words, shingles and containment as SQL says them; ids of pairs with their counts.
 OP8_SQL = r"""
