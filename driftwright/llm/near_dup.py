@@ -19,7 +19,7 @@ Repeated rows belong together. Rows that share an id count as one node. An empty
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -142,38 +142,33 @@ def differing(x: Column, y: Column) -> Column:
     return F.bit_count(any_bit.bitwiseAND(F.lit(0o1111111111_1111111111)))
 
 
-def may_link(a: str, b: str) -> Column:
+def may_link(a: str, b: str, percent: int, radius: int) -> Column:
     """Within the signature distance and the size bound; no pair over the threshold fails for its size."""
-    close = differing(F.col(f"{a}.s1"), F.col(f"{b}.s1")) + differing(F.col(f"{a}.s2"), F.col(f"{b}.s2")) <= RADIUS
+    close = differing(F.col(f"{a}.s1"), F.col(f"{b}.s1")) + differing(F.col(f"{a}.s2"), F.col(f"{b}.s2")) <= radius
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return close & (100 * F.least(n, m) >= PERCENT * F.greatest(n, m))
+    return close & (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets meet the threshold."""
     one = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
     two = one.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
     shared = F.size(F.array_intersect("ha", "hb"))
     union = F.size("ha") + F.size("hb") - shared
-    return two.where(100 * shared >= PERCENT * union).select("a", "b")
+    return two.where(100 * shared >= percent * union).select("a", "b")
 
 
-def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``df``: id, ``n_shingles``, ``component_id`` and ``kept``."""
-    signed = stash(sign(df, id_col, text_col))
-    same = ["n", "h1", "h2"]
-    alone = signed.where("id is not null and n > 0")
-    nodes = stash(alone.groupBy(*same).agg(F.min("id").alias("rep")))
-    reps = alone.join(nodes.select(*same, F.col("rep").alias("id")), [*same, "id"], "left_semi")
-    band = F.floor(F.log("n") / np.log(100 / PERCENT) + F.lit(0.0))
-    shifted = F.floor(F.log("n") / np.log(100 / PERCENT) + F.lit(0.5))
-    rows = reps.select("id", "n", "s1", "s2", band.alias("band0"), shifted.alias("band1"), F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    active = stash(rows.join(shared, "key").select("id", "n", "s1", "s2", "band0", "band1", "key"))
-    marks = reps.select("id", "n", "s1", "s2")
-    label = None
+def cluster(active: DataFrame, marks: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, radius: int, rounds: int = STAR_ROUNDS) -> DataFrame | None:
+    """``node, component`` of the nodes that are linked; None if none is.
+
+    active: ``id, n, s1, s2, key``, the nodes of the buckets; marks: ``id, n, s1, s2``; sets_of: from a table of ids
+    to ``id, hashes``.
+    """
+    step = np.log(100 / percent)
+    active = stash(active.withColumns({"band0": F.floor(F.log("n") / step), "band1": F.floor(F.log("n") / step + F.lit(0.5))}))
+    label: DataFrame | None = None
     links: DataFrame | None = None
-    for turn in range(STAR_ROUNDS + 1):
+    for turn in range(rounds + 1):
         if label is None:
             here = active.withColumn("comp", F.col("id"))
         else:
@@ -182,29 +177,44 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
             here = stash(found.join(mixed_keys, "key").select("id", "n", "s1", "s2", "band0", "band1", "key", "comp"))
         if here.isEmpty():
             break
-        if turn < STAR_ROUNDS:
+        if turn < rounds:
             by = ["key", f"band{turn % 2}"]
             order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
             leaders = here.groupBy(*by).agg(F.min_by("id", order).alias("leader"), F.min_by("comp", order).alias("of"))
             met = here.join(leaders, by).where("id <> leader and comp <> of").select("id", "leader").distinct()
-            near = met.join(marks.alias("a"), met["leader"] == F.col("a.id")).join(marks.alias("b"), met["id"] == F.col("b.id")).where(may_link("a", "b"))
+            near = met.join(marks.alias("a"), met["leader"] == F.col("a.id")).join(marks.alias("b"), met["id"] == F.col("b.id")).where(may_link("a", "b", percent, radius))
             far = differing(F.col("a.s1"), F.col("b.s1")) + differing(F.col("a.s2"), F.col("b.s2"))
             best = near.select(met["leader"].alias("a"), met["id"].alias("b"), far.alias("far")).groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a"))
             pairs = stash(best.select("a", "b"))
         else:
             a, b = here.alias("a"), here.alias("b")
-            joined = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.comp") != F.col("b.comp")) & may_link("a", "b"))
+            joined = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.comp") != F.col("b.comp")) & may_link("a", "b", percent, radius))
             pairs = stash(joined.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
         if label is not None:
             drop_stash(here)
         if pairs.isEmpty():
             continue
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = stash(full_sets(df, id_col, text_col, stash(wanted)))
-        fresh = stash(confirm(pairs, sets))
+        wanted = stash(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+        sets = stash(sets_of(wanted))
+        fresh = stash(confirm(pairs, sets, percent))
         drop_stash(sets)
         links = fresh if links is None else links.union(fresh)
         label = components(links)
+    drop_stash(active)
+    return label
+
+
+def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``df``: id, ``n_shingles``, ``component_id`` and ``kept``."""
+    signed = stash(sign(df, id_col, text_col))
+    same = ["n", "h1", "h2"]
+    alone = signed.where("id is not null and n > 0")
+    nodes = stash(alone.groupBy(*same).agg(F.min("id").alias("rep")))
+    reps = alone.join(nodes.select(*same, F.col("rep").alias("id")), [*same, "id"], "left_semi")
+    marks = reps.select("id", "n", "s1", "s2")
+    rows = reps.select("id", "n", "s1", "s2", F.explode("keys").alias("key"))
+    shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
+    label = cluster(rows.join(shared, "key"), marks, lambda wanted: full_sets(df, id_col, text_col, wanted), PERCENT, RADIUS)
     out = signed.select("id", *same).join(nodes, same, "left")
     if label is not None:
         out = out.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")

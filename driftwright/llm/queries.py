@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, langid, license_scan, near_dup, secret_scan, topk, toxicity
+from . import bpe, decontaminate, html_extract, langid, license_scan, near_dup, secret_scan, substring_dedup, topk, toxicity
 from .common import crc_remainder, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "start", "stop", "n_words", "kept_in", F.size("clusters").cast("long").alias("n_clusters"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
     return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
@@ -70,7 +75,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "clauses")
 
 
-QUERIES = {"op2_license_scan": op2_license_scan, "op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op4_exact_top_k": op4_exact_top_k, "op5_near_duplicates": op5_near_duplicates, "op6_html_extraction": op6_html_extraction, "op7_toxicity": op7_toxicity, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_license_scan": op2_license_scan, "op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op4_exact_top_k": op4_exact_top_k, "op5_near_duplicates": op5_near_duplicates, "op6_html_extraction": op6_html_extraction, "op7_toxicity": op7_toxicity, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
 
 #: Words, shingles and containment as SQL says them; ids of pairs with their counts.
 OP8_SQL = r"""
