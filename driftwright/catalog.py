@@ -1,4 +1,8 @@
-"""Registry of the queries and of the SQL that each must equal."""
+"""Registry of the queries and of the SQL that each must equal.
+
+Every query runs over whole tables of a data folder; the operators that the reference describes are applied to the
+driver's tables through the same functions that the command line uses.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import analytics
+from .functions import names
+from .functions.casts import exact_cast
+from .functions.types import TARGET_TYPES, compatible, fits_column, target_type_column
+from .operators import drift, load
+from .operators.profile import precision_loss as count_lossy
+from .operators.profile import profile, sample
+from .operators.similarity import score, verified
+from .plans import pipeline
+from .plans.mapping import Mapping
+from .plans.planner import Action, Plan, plan_file
+from .plans.transform import apply, compile_action
+from .session import configure
+from .sources.download import classify_column
+from .sources.footer import family_stats, file_stats, read_footers
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,7 +43,434 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def values_sql(rows: list[tuple], columns: str) -> str:
+    """A VALUES table."""
+    text = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
+    return "(VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows) + f") AS t({columns})"
+
+
+# -- documented queries ------------------------------------------------------------------------------------------
+
+
 @query("trips_by_year", "SELECT extract(year FROM o_orderdate) AS yr, count(*) AS n, avg(o_totalprice) AS avg_price FROM orders GROUP BY 1")
-def trips_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.groupBy(F.year("o_orderdate").cast("bigint").alias("yr")).agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("avg_price"))
+def trips_by_year(spark, sf_dir):
+    return analytics.by_year(read(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+
+
+@query("trips_since_year", "SELECT extract(year FROM o_orderdate) AS yr, count(*) AS n, avg(o_totalprice) AS avg_price FROM orders WHERE o_orderdate IS NOT NULL AND extract(year FROM o_orderdate) >= 1995 GROUP BY 1")
+def trips_since_year(spark, sf_dir):
+    return analytics.by_year(read(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice", 1995)
+
+
+@query("avg_by_weekday", "SELECT strftime(l_shipdate, '%A') AS weekday, count(*) AS n, round(avg(l_quantity), 6) AS avg_value FROM lineitem GROUP BY 1")
+def avg_by_weekday(spark, sf_dir):
+    return analytics.by_weekday(read(spark, sf_dir, "lineitem"), "l_shipdate", "l_quantity").withColumn("avg_value", F.round("avg_value", 6))
+
+
+@query("top10_parts", "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 10")
+def top10_parts(spark, sf_dir):
+    return analytics.most_frequent(read(spark, sf_dir, "lineitem"), "l_partkey", 10)
+
+
+@query("count_multi_file", "SELECT count(*) AS n FROM (SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders)")
+def count_multi_file(spark, sf_dir):
+    return analytics.count_files(configure(spark), [f"{sf_dir}/orders.parquet"] * 2)
+
+
+@query("union_by_name", "SELECT n_nationkey AS key, n_name, NULL AS r_name FROM nation UNION ALL SELECT r_regionkey, NULL, r_name FROM region")
+def union_by_name(spark, sf_dir):
+    nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key"), "n_name")
+    return nation.unionByName(read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("key"), "r_name"), allowMissingColumns=True)
+
+
+@query("distinct_values", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
+def distinct_values(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus").distinct()
+
+
+@query("chunk_export", "SELECT chunk, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) // 5000 AS chunk FROM lineitem) GROUP BY 1")
+def chunk_export(spark, sf_dir):
+    return analytics.chunks(read(spark, sf_dir, "lineitem"), [F.col("l_orderkey"), F.col("l_linenumber")], 5000)
+
+
+@query("weighted_operations")
+def weighted_operations(spark, sf_dir):
+    chosen = analytics.weighted_choice(read(spark, sf_dir, "orders"), {"insert": 0.5, "update": 0.3, "delete": 0.2})
+    return chosen.groupBy("operation").agg(F.count("*").alias("n"))
+
+
+# -- normalisation -----------------------------------------------------------------------------------------------
+
+
+@query("norm_passthrough_rename", 'SELECT n_nationkey AS "NationID", n_name FROM nation')
+def norm_passthrough_rename(spark, sf_dir):
+    plan = Plan([Action("rename", "NationID", "INTEGER", "n_nationkey", "INTEGER"), Action("passthrough", "n_name", "VARCHAR", "n_name", "VARCHAR")])
+    return apply(read(spark, sf_dir, "nation"), plan)
+
+
+@query("norm_cast_double_bigint", "SELECT CAST(l_quantity / 4 AS BIGINT) AS q, count(*) AS n FROM lineitem GROUP BY 1")
+def norm_cast_double_bigint(spark, sf_dir):
+    q = exact_cast(F.col("l_quantity") / 4, "DOUBLE", "BIGINT")
+    return read(spark, sf_dir, "lineitem").groupBy(q.alias("q")).agg(F.count("*").alias("n"))
+
+
+@query("norm_cast_decimal_bigint", "SELECT CAST(CAST(l_quantity / 4 AS DECIMAL(10,2)) AS BIGINT) AS q, count(*) AS n FROM lineitem GROUP BY 1")
+def norm_cast_decimal_bigint(spark, sf_dir):
+    q = exact_cast((F.col("l_quantity") / 4).cast("decimal(10,2)"), "DECIMAL(10,2)", "BIGINT")
+    return read(spark, sf_dir, "lineitem").groupBy(q.alias("q")).agg(F.count("*").alias("n"))
+
+
+@query("norm_cast_text_bigint", "SELECT CAST(CAST(l_quantity / 4 AS VARCHAR) AS BIGINT) AS q, count(*) AS n FROM lineitem GROUP BY 1")
+def norm_cast_text_bigint(spark, sf_dir):
+    q = exact_cast((F.col("l_quantity") / 4).cast("string"), "VARCHAR", "BIGINT")
+    return read(spark, sf_dir, "lineitem").groupBy(q.alias("q")).agg(F.count("*").alias("n"))
+
+
+@query("norm_null_fill", "SELECT o_orderkey, CAST(NULL AS DOUBLE) AS fee FROM orders")
+def norm_null_fill(spark, sf_dir):
+    return read(spark, sf_dir, "orders").select("o_orderkey", compile_action(Action("null_fill", "fee", "DOUBLE")))
+
+
+def _mapped(source: str, values: dict, policy: str, source_type: str = "VARCHAR", name: str = "code"):
+    return compile_action(Action("value_map", name, "BIGINT", source, source_type, tuple(values.items()), policy))
+
+
+@query("norm_value_map_null", "SELECT l_orderkey, l_linenumber, coalesce(code, -1) AS code, code IS NULL AS unmapped FROM (SELECT *, CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 END AS BIGINT) AS code FROM lineitem)")
+def norm_value_map_null(spark, sf_dir):
+    mapped = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _mapped("l_returnflag", {"A": 1, "N": 2}, "null"))
+    return mapped.select("l_orderkey", "l_linenumber", F.coalesce("code", F.lit(-1)).alias("code"), F.col("code").isNull().alias("unmapped"))
+
+
+@query("norm_value_map_strict", "SELECT o_orderkey, CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 END AS BIGINT) AS code FROM orders")
+def norm_value_map_strict(spark, sf_dir):
+    return read(spark, sf_dir, "orders").select("o_orderkey", _mapped("o_orderstatus", {"F": 1, "O": 2, "P": 3}, "error"))
+
+
+@query("norm_value_map_code_keys", "SELECT c_custkey, coalesce(CAST(CASE CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR) WHEN '0.0' THEN 10 WHEN '1.0' THEN 11 END AS BIGINT), -1) AS code FROM customer")
+def norm_value_map_code_keys(spark, sf_dir):
+    codes = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("k"))
+    return codes.select("c_custkey", F.coalesce(_mapped("k", {"0.0": 10, "1.0": 11}, "null", "DOUBLE"), F.lit(-1)).alias("code"))
+
+
+@query(
+    "norm_full_plan",
+    """SELECT l_orderkey AS "OrderID", CAST(l_quantity AS BIGINT) AS quantity, CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END AS BIGINT) AS l_returnflag,
+    CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice, CAST(NULL AS DOUBLE) AS congestion_fee FROM lineitem""",
+)
+def norm_full_plan(spark, sf_dir):
+    """Footers, planner and transform together: rename, cast, value map, widening, passthrough, null fill, drops."""
+    path = f"{sf_dir}/lineitem.parquet"
+    raw = next(iter(file_stats(read_footers(configure(spark), [path])).values()))
+    target = {n: {"type": t} for n, t in [("OrderID", "BIGINT"), ("quantity", "BIGINT"), ("l_returnflag", "BIGINT"), ("l_linenumber", "BIGINT"), ("l_extendedprice", "DOUBLE"), ("congestion_fee", "DOUBLE")]}
+    gone = ["l_partkey", "l_suppkey", "l_discount", "l_tax", "l_linestatus", "l_shipdate"]
+    ack = {"ack_date": "2024-01-01", "from": "DOUBLE", "to": "BIGINT"}
+    mapping = Mapping("x", {"l_orderkey": "OrderID", "l_quantity": "quantity"}, {"quantity": ack}, {c: ack for c in gone}, {"l_returnflag": {"A": 1, "N": 2, "R": 3}}, {"l_returnflag": "error"})
+    plan = plan_file(raw, target, mapping)
+    if plan.unresolved:
+        raise ValueError(f"unresolved: {plan.unresolved}")
+    return apply(spark.read.parquet(path), plan)
+
+
+# -- footers and profiles ----------------------------------------------------------------------------------------
+
+_FOOTER_COLUMNS = ["l_orderkey", "l_quantity", "l_returnflag"]
+
+
+@query("footer_stats", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS num_rows, count(*) - count({c}) AS null_count, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM lineitem" for c in _FOOTER_COLUMNS))
+def footer_stats(spark, sf_dir):
+    rows = read_footers(configure(spark), [f"{sf_dir}/lineitem.parquet"]).where(F.col("column").isin(_FOOTER_COLUMNS))
+    bound = lambda side: F.coalesce(*(F.col(f"{side}_{kind}").cast("string") for kind in ("long", "double", "text")))
+    return rows.select("column", "num_rows", "null_count", bound("min").alias("low"), bound("max").alias("high"))
+
+
+@query(
+    "family_stats",
+    """SELECT "column", CAST(2 AS BIGINT) AS files_present, CAST(2 AS BIGINT) AS files_with_data, CAST(n AS BIGINT) AS total_rows, lo AS min_number, hi AS max_number FROM (
+    SELECT 'o_orderkey' AS "column", 2 * count(*) AS n, CAST(min(o_orderkey) AS DOUBLE) AS lo, CAST(max(o_orderkey) AS DOUBLE) AS hi FROM orders
+    UNION ALL SELECT 'o_totalprice', 2 * count(*), min(o_totalprice), max(o_totalprice) FROM orders)""",
+)
+def family_statistics(spark, sf_dir):
+    footers = read_footers(configure(spark), [f"{sf_dir}/orders.parquet"])
+    twice = footers.unionByName(footers.withColumn("path", F.concat("path", F.lit("#2"))))
+    return family_stats(twice).where(F.col("column").isin("o_orderkey", "o_totalprice")).select("column", "files_present", "files_with_data", "total_rows", "min_number", "max_number")
+
+
+@query(
+    "mixed_type_fold",
+    f"""WITH v AS (SELECT * FROM {values_sql([("a", "f1", "N", "Y", None, None), ("a", "f2", None, None, 1, 9), ("b", "f1", None, None, 1, 9), ("b", "f2", "N", "Y", None, None)], "c, path, lo_t, hi_t, lo_n, hi_n")}),
+    f AS (SELECT c, arg_min(CASE WHEN lo_n IS NOT NULL THEN 'number' ELSE 'text' END, path) AS kind FROM v GROUP BY c)
+    SELECT v.c AS "column", min(CASE WHEN kind = 'text' THEN lo_t END) AS min_text, max(CASE WHEN kind = 'text' THEN hi_t END) AS max_text,
+    CAST(min(CASE WHEN kind = 'number' THEN lo_n END) AS DOUBLE) AS min_number, CAST(max(CASE WHEN kind = 'number' THEN hi_n END) AS DOUBLE) AS max_number FROM v JOIN f ON v.c = f.c GROUP BY v.c""",
+)
+def mixed_type_fold(spark, sf_dir):
+    rows = [("a", "f1", "VARCHAR", "N", "Y", None, None), ("a", "f2", "INTEGER", None, None, 1, 9), ("b", "f1", "INTEGER", None, None, 1, 9), ("b", "f2", "VARCHAR", "N", "Y", None, None)]
+    df = spark.createDataFrame(rows, "column string, path string, dtype string, min_text string, max_text string, min_long bigint, max_long bigint")
+    df = df.withColumns({"min_double": F.lit(None).cast("double"), "max_double": F.lit(None).cast("double"), "num_values": F.lit(2), "null_count": F.lit(0), "error": F.lit(None).cast("string")})
+    return family_stats(df).select("column", "min_text", "max_text", "min_number", "max_number")
+
+
+@query("precision_loss", "SELECT count(*) FILTER (WHERE l_extendedprice IS NOT NULL AND l_extendedprice != CAST(l_extendedprice AS BIGINT)) AS lossy_rows FROM lineitem")
+def precision_loss(spark, sf_dir):
+    return count_lossy(read(spark, sf_dir, "lineitem"), "l_extendedprice", "BIGINT")
+
+
+_RANGES = {"TINYINT": 7, "SMALLINT": 15, "INTEGER": 31, "BIGINT": 63}
+
+
+@query(
+    "fits_matrix",
+    " UNION ALL ".join(
+        f"SELECT c AS \"column\", '{t}' AS target, lo >= -(CAST(2 AS HUGEINT) ** {b}) AND hi <= CAST(2 AS HUGEINT) ** {b} - 1 AS fits FROM (SELECT 'l_orderkey' AS c, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem UNION ALL SELECT 'l_linenumber', min(l_linenumber), max(l_linenumber) FROM lineitem UNION ALL SELECT 'l_partkey', min(l_partkey), max(l_partkey) FROM lineitem)"
+        for t, b in _RANGES.items()
+    ),
+)
+def fits_matrix(spark, sf_dir):
+    rows = read_footers(configure(spark), [f"{sf_dir}/lineitem.parquet"]).where(F.col("column").isin("l_orderkey", "l_linenumber", "l_partkey"))
+    each = F.array(*(F.struct(F.lit(t).alias("target"), fits_column(F.col("min_long"), F.col("max_long"), t).alias("fits")) for t in _RANGES))
+    return rows.select("column", F.explode(each).alias("x")).select("column", "x.target", "x.fits")
+
+
+_PROFILED = ["l_quantity", "l_returnflag", "l_linenumber", "l_discount"]
+
+
+@query("profile_counts", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS total_count, count({c}) AS non_null_count, count(DISTINCT {c}) AS unique_count FROM lineitem" for c in _PROFILED))
+def profile_counts(spark, sf_dir):
+    return profile(read(spark, sf_dir, "lineitem"), _PROFILED).select("column", "total_count", "non_null_count", "unique_count")
+
+
+@query("profile_numeric", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", min(TRY_CAST({c} AS DOUBLE)) AS min, max(TRY_CAST({c} AS DOUBLE)) AS max, round(avg(TRY_CAST({c} AS DOUBLE)), 6) AS avg FROM lineitem" for c in _PROFILED))
+def profile_numeric(spark, sf_dir):
+    return profile(read(spark, sf_dir, "lineitem"), _PROFILED).select("column", "min", "max", F.round("avg", 6).alias("avg"))
+
+
+@query("profile_top5", " UNION ALL ".join(f"SELECT * FROM (SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INTEGER) AS place FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}) WHERE place <= 5" for c in _PROFILED))
+def profile_top5(spark, sf_dir):
+    found = profile(read(spark, sf_dir, "lineitem"), _PROFILED)
+    return found.select("column", F.posexplode("top_values").alias("p", "value")).select("column", "value", (F.col("p") + 1).alias("place"))
+
+
+def _profile_sql(table: str, columns: list[str]) -> str:
+    one = """SELECT '{c}' AS c, count(*) AS t, count({c}) AS nn, count(DISTINCT {c}) AS u, min({c}) AS lo, max({c}) AS hi, avg({c}) AS a,
+    (SELECT list(v) FROM (SELECT CAST({c} AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 5)) AS top FROM {t}"""
+    return " UNION ALL ".join(one.format(c=c, t=table) for c in columns)
+
+
+_PAIRED = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+_MEASURES = f"""WITH p AS ({_profile_sql("lineitem", _PAIRED)}),
+    m AS (SELECT x.c AS a, y.c AS b, abs(x.nn / x.t - y.nn / y.t) AS dn, abs(log10(x.u / x.nn + 0.001) - log10(y.u / y.nn + 0.001)) AS dk,
+    least(x.hi, y.hi) - greatest(x.lo, y.lo) AS ov, greatest(CASE WHEN x.hi = x.lo THEN 1 ELSE x.hi - x.lo END, CASE WHEN y.hi = y.lo THEN 1 ELSE y.hi - y.lo END) AS w,
+    abs(x.a - y.a) / greatest(abs(x.a), abs(y.a), 1) AS da, len(list_intersect(x.top, y.top)) AS common, greatest(len(x.top), len(y.top)) AS widest, x.u < 20 AND y.u < 20 AS few FROM p x JOIN p y ON x.c < y.c)"""
+
+
+def _pairs(spark, sf_dir):
+    found = profile(read(spark, sf_dir, "lineitem"), _PAIRED)
+    a, b = found.select(F.struct("*").alias("a")), found.select(F.struct("*").alias("b"))
+    return a.join(b, F.col("a.column") < F.col("b.column"))
+
+
+@query("similarity_score", _MEASURES + " SELECT a, b, round((greatest(0, 1 - 2 * dn) + greatest(0, 1 - dk) + 2 * CASE WHEN ov >= 0 THEN ov / w ELSE 0 END + greatest(0, 1 - da) + common / widest) / 6, 6) AS score FROM m")
+def similarity_score(spark, sf_dir):
+    return _pairs(spark, sf_dir).select(F.col("a.column").alias("a"), F.col("b.column").alias("b"), F.round(score(F.col("a"), F.col("b")), 6).alias("score"))
+
+
+@query(
+    "verify_score",
+    _MEASURES
+    + """ SELECT a, b, (CASE WHEN dn < 0.1 THEN 1 ELSE 0 END + CASE WHEN dk < 0.5 THEN 1 ELSE 0 END + CASE WHEN ov >= 0 AND ov / w > 0.5 THEN 1.5 ELSE 0 END + CASE WHEN da < 0.2 THEN 1 ELSE 0 END + common / 5)
+    / (4.5 + CASE WHEN common > 0 OR few THEN 1 ELSE 0 END) >= 0.5 AS verified FROM m""",
+)
+def verify_score(spark, sf_dir):
+    return _pairs(spark, sf_dir).select(F.col("a.column").alias("a"), F.col("b.column").alias("b"), verified(F.col("a"), F.col("b")).alias("verified"))
+
+
+@query("sample_profile")
+def sample_profile(spark, sf_dir):
+    return profile(sample(read(spark, sf_dir, "lineitem"), 5000), _PROFILED)
+
+
+@query("sample_percent")
+def sample_percent(spark, sf_dir):
+    return sample(read(spark, sf_dir, "lineitem"), "10%").agg(F.count("*").alias("n"))
+
+
+# -- names and types ---------------------------------------------------------------------------------------------
+
+_NAMES = ["Trip_Pickup_DateTime", "tpep_pickup_datetime", "Start_Lon", "pickup_longitude", "PULocationID", "DOLocationID", "vendor_name", "VendorID", "Tip_Amt", "tip_amount", "Total_Amt", "pax_cnt", "dropoff_datetime", "trip", "o_orderdate", "store_and_fwd_flag"]
+
+
+def _name_rows(spark):
+    return spark.createDataFrame([(n,) for n in _NAMES], "name string")
+
+
+_NORMALIZED = "list_transform(list_filter(string_split(replace(lower(name), '_', ' '), ' '), lambda w: w <> ''), lambda w: CASE w " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.EXPANSIONS.items()) + " ELSE w END)"
+
+
+@query("name_normalize", f"SELECT name, array_to_string({_NORMALIZED}, '') AS normalized FROM {values_sql([(n,) for n in _NAMES], 'name')}")
+def name_normalize(spark, sf_dir):
+    return _name_rows(spark).select("name", names.normalized(F.col("name")).alias("normalized"))
+
+
+@query("name_categories", "SELECT name, array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(lower(name), '{'|'.join(parts)}') THEN '{c}' END" for c, parts in names.CATEGORIES.items()) + f"], lambda x: x IS NOT NULL), ',') AS categories FROM {values_sql([(n,) for n in _NAMES], 'name')}")
+def name_categories(spark, sf_dir):
+    return _name_rows(spark).select("name", F.array_join(names.categories(F.col("name")), ",").alias("categories"))
+
+
+@query("name_similarity")
+def name_similarity(spark, sf_dir):
+    a, b = _name_rows(spark).select(F.col("name").alias("a")), _name_rows(spark).select(F.col("name").alias("b"))
+    return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.round(names.similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
+
+
+_TYPES = ["INTEGER", "BIGINT", "DOUBLE", "DECIMAL", "DECIMAL(2,1)", "VARCHAR", "TEXT", "TIMESTAMP", "DATE", "BOOLEAN"]
+_SETS = " OR ".join("(x.t IN ({0}) AND y.t IN ({0}))".format(", ".join(f"'{t}'" for t in group)) for group in [["INTEGER", "BIGINT", "DOUBLE", "FLOAT", "DECIMAL", "NUMERIC", "INT"], ["VARCHAR", "TEXT", "STRING", "CHAR"], ["TIMESTAMP", "DATETIME", "DATE", "TIME"]])
+
+
+@query("types_compatible_matrix", f"WITH v AS (SELECT * FROM {values_sql([(t,) for t in _TYPES], 't')}) SELECT x.t AS a, y.t AS b, x.t = y.t OR {_SETS} AS compatible FROM v x, v y WHERE x.t <= y.t")
+def types_compatible_matrix(spark, sf_dir):
+    df = spark.createDataFrame([(t,) for t in _TYPES], "t string")
+    pairs = df.select(F.col("t").alias("a")).join(df.select(F.col("t").alias("b")), F.col("a") <= F.col("b"))
+    return pairs.select("a", "b", compatible(F.col("a"), F.col("b")).alias("compatible"))
+
+
+_DDL_TYPES = [*TARGET_TYPES, "decimal(10,2)", " bigint ", "UUID"]
+
+
+@query("type_map_ddl", "SELECT t AS name, CASE upper(trim(t)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TARGET_TYPES.items()) + f" WHEN 'DECIMAL(10,2)' THEN 'DECIMAL(10,2)' END AS target FROM {values_sql([(t,) for t in _DDL_TYPES], 't')}")
+def type_map_ddl(spark, sf_dir):
+    return spark.createDataFrame([(t,) for t in _DDL_TYPES], "name string").select("name", target_type_column(F.col("name")).alias("target"))
+
+
+# -- drift -------------------------------------------------------------------------------------------------------
+
+_SIGNATURES = [("yellow", "2009-01", "a:INT,b:INT"), ("yellow", "2009-02", "a:INT,b:INT"), ("yellow", "2009-03", "a:INT,c:INT"), ("yellow", "2009-04", "b:INT,a:INT"), ("green", "2009-03", "a:INT"), ("green", "2009-04", "a:INT")]
+
+
+@query("schema_transitions", f"SELECT data_type, period, sig FROM (SELECT *, lag(sig) OVER (PARTITION BY data_type ORDER BY period) AS before FROM {values_sql(_SIGNATURES, 'data_type, period, sig')}) WHERE before IS NULL OR sig <> before")
+def schema_transitions(spark, sf_dir):
+    return drift.transitions(spark.createDataFrame(_SIGNATURES, "data_type string, period string, sig string"), ["data_type"])
+
+
+_OLD = [("vendorid", "INTEGER"), ("pu_datetime", "TIMESTAMP"), ("passenger_count", "DOUBLE"), ("fare", "DOUBLE")]
+_NEW = [("vendorid", "INTEGER"), ("tpep_pickup_datetime", "TIMESTAMP"), ("passenger_count", "BIGINT"), ("fare", "DOUBLE"), ("airport_fee", "DOUBLE")]
+
+
+@query("schema_diff", f"SELECT coalesce(o.name, n.name) AS name, CASE WHEN o.name IS NULL THEN 'added' WHEN n.name IS NULL THEN 'removed' ELSE 'type_changed' END AS change, o.dtype AS old_type, n.dtype AS new_type FROM (SELECT * FROM {values_sql(_OLD, 'name, dtype')}) o FULL JOIN (SELECT * FROM {values_sql(_NEW, 'name, dtype')}) n ON o.name = n.name WHERE o.dtype IS DISTINCT FROM n.dtype")
+def schema_diff(spark, sf_dir):
+    return drift.schema_diff(*(spark.createDataFrame(rows, "name string, dtype string") for rows in (_OLD, _NEW)))
+
+
+@query("rename_greedy")
+def rename_greedy(spark, sf_dir):
+    found = drift.renames_by_name(spark, [("pu_datetime", "TIMESTAMP"), ("Tip_Amt", "DOUBLE"), ("Start_Lon", "DOUBLE")], [("tpep_pickup_datetime", "TIMESTAMP"), ("tip_amount", "DOUBLE"), ("pickup_longitude", "DOUBLE")])
+    return spark.createDataFrame([(r.old, r.new, r.confidence) for r in found], "old string, new string, confidence double")
+
+
+@query("rename_by_data")
+def rename_by_data(spark, sf_dir):
+    """Data similarity between two tables' columns: keys and prices of orders against line items."""
+    spark = configure(spark)
+    return drift.data_pairs(spark, [("o_orderkey", "BIGINT"), ("o_totalprice", "DOUBLE")], [("l_orderkey", "BIGINT"), ("l_extendedprice", "DOUBLE")], f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet", 0).select("old", "new", F.round("score", 6).alias("score"), "verified")
+
+
+@query("column_coverage", f"SELECT name, string_agg(DISTINCT t, ',' ORDER BY t) AS types FROM (SELECT name, 'old' AS t FROM {values_sql(_OLD, 'name, dtype')} UNION ALL SELECT name, 'new' FROM {values_sql(_NEW, 'name, dtype')}) GROUP BY name")
+def column_coverage(spark, sf_dir):
+    both = [(n, "old") for n, _ in _OLD] + [(n, "new") for n, _ in _NEW]
+    return spark.createDataFrame(both, "name string, t string").groupBy("name").agg(F.array_join(F.sort_array(F.collect_set("t")), ",").alias("types"))
+
+
+# -- loads -------------------------------------------------------------------------------------------------------
+
+_DISK_SQL = "SELECT CAST(extract(year FROM l_shipdate) AS INTEGER) AS year, CAST(extract(month FROM l_shipdate) AS INTEGER) AS month, count(*) AS rows FROM lineitem GROUP BY ALL"
+_MANIFEST_SQL = """SELECT year, month, CASE WHEN year = 1994 AND month = 3 THEN rows + 1 ELSE rows END AS row_count FROM disk WHERE NOT (year = 1995 AND month >= 11) AND year <> 1996
+    UNION ALL SELECT 1993, 13, 5"""
+
+
+def _months(spark, sf_dir):
+    items = read(spark, sf_dir, "lineitem")
+    return items.groupBy(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).agg(F.count("*").alias("rows"))
+
+
+@query(
+    "reconcile_plan",
+    f"""WITH disk AS ({_DISK_SQL}), manifest AS ({_MANIFEST_SQL}), counts AS (SELECT year, CAST(sum(row_count) + CASE WHEN year = 1997 THEN 1 ELSE 0 END AS BIGINT) AS n FROM manifest GROUP BY year),
+    joined AS (SELECT coalesce(d.year, m.year) AS year, coalesce(d.month, m.month) AS month, d.rows, m.row_count FROM disk d FULL JOIN manifest m ON d.year = m.year AND d.month = m.month),
+    y AS (SELECT year, coalesce(sum(row_count), 0) AS loaded, bool_or(rows IS NULL) AS gone, bool_or(coalesce(rows <> row_count, false)) AS changed, count(*) FILTER (WHERE row_count IS NULL) AS fresh,
+    array_to_string(list_sort(list(month) FILTER (WHERE row_count IS NULL)), ',') AS fresh_months, array_to_string(list_sort(list(month) FILTER (WHERE rows IS NOT NULL)), ',') AS present FROM joined GROUP BY year)
+    SELECT y.year, CASE WHEN coalesce(n, 0) <> loaded OR gone OR changed THEN 'reload' WHEN fresh > 0 THEN 'append' ELSE 'skip' END AS action,
+    CASE WHEN coalesce(n, 0) <> loaded OR gone OR changed THEN coalesce(present, '') WHEN fresh > 0 THEN fresh_months ELSE '' END AS months FROM y LEFT JOIN counts c ON y.year = c.year""",
+)
+def reconcile_plan(spark, sf_dir):
+    disk = _months(spark, sf_dir)
+    changed = F.when((F.col("year") == 1994) & (F.col("month") == 3), F.col("rows") + 1).otherwise(F.col("rows"))
+    manifest = disk.where(~((F.col("year") == 1995) & (F.col("month") >= 11)) & (F.col("year") != 1996)).select("year", "month", changed.alias("row_count"))
+    manifest = manifest.union(spark.createDataFrame([(1993, 13, 5)], "year int, month int, row_count bigint"))
+    counts = manifest.groupBy("year").agg((F.sum("row_count") + F.when(F.col("year") == 1997, 1).otherwise(0)).alias("table_rows"))
+    return load.reconcile(disk, manifest, counts).withColumn("months", F.array_join("months", ","))
+
+
+@query(
+    "pending_months",
+    """WITH span AS (SELECT CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS a, CAST(date_trunc('month', max(o_orderdate)) AS DATE) AS b FROM orders),
+    every AS (SELECT CAST(unnest(generate_series(a - INTERVAL 2 MONTH, b + INTERVAL 2 MONTH, INTERVAL 1 MONTH)) AS DATE) AS m FROM span)
+    SELECT CAST(extract(year FROM m) AS INTEGER) AS year, CAST(extract(month FROM m) AS INTEGER) AS month FROM every WHERE m NOT IN (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders)""",
+)
+def pending_months(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "month").alias("m"))
+    span = orders.agg(F.add_months(F.min("m"), -2).alias("a"), F.add_months(F.max("m"), 2).alias("b"))
+    every = span.select(F.explode(F.expr("sequence(a, b, interval 1 month)")).alias("m"))
+    return every.join(orders.distinct(), "m", "left_anti").select(F.year("m").alias("year"), F.month("m").alias("month"))
+
+
+@query("year_table_counts", "SELECT 'orders_' || CAST(extract(year FROM o_orderdate) AS VARCHAR) AS table_name, count(*) AS n FROM orders GROUP BY 1")
+def year_table_counts(spark, sf_dir):
+    return read(spark, sf_dir, "orders").groupBy(F.concat(F.lit("orders_"), F.year("o_orderdate")).alias("table_name")).agg(F.count("*").alias("n"))
+
+
+@query("manifest_integrity", f"WITH disk AS ({_DISK_SQL}), manifest AS ({_MANIFEST_SQL}) SELECT coalesce(d.year, m.year) AS year, coalesce(d.month, m.month) AS month, coalesce(rows = row_count, false) AS intact FROM disk d FULL JOIN manifest m ON d.year = m.year AND d.month = m.month")
+def manifest_integrity(spark, sf_dir):
+    disk = _months(spark, sf_dir)
+    changed = F.when((F.col("year") == 1994) & (F.col("month") == 3), F.col("rows") + 1).otherwise(F.col("rows"))
+    manifest = disk.where(~((F.col("year") == 1995) & (F.col("month") >= 11)) & (F.col("year") != 1996)).select("year", "month", changed.alias("row_count"))
+    manifest = manifest.union(spark.createDataFrame([(1993, 13, 5)], "year int, month int, row_count bigint"))
+    return disk.join(manifest, ["year", "month"], "full_outer").select("year", "month", F.coalesce(F.col("rows") == F.col("row_count"), F.lit(False)).alias("intact"))
+
+
+# -- orchestration -----------------------------------------------------------------------------------------------
+
+_CODES = [(s, c) for s in ("download", "normalize", "load") for c in (0, 1, 2, 3)]
+_STATUS_SQL = "CASE WHEN code = 0 THEN 'ok' WHEN stage = 'download' THEN 'failed' WHEN stage = 'normalize' THEN CASE WHEN code IN (1, 3) THEN 'needs_review' ELSE 'failed' END WHEN code = 1 THEN 'partial' ELSE 'conn_error' END"
+
+
+def _codes(spark):
+    return spark.createDataFrame(_CODES, "stage string, code int").withColumn("status", pipeline.status_column(F.col("stage"), F.col("code")))
+
+
+@query("classify_outcomes", f"SELECT stage, CAST(code AS INTEGER) AS code, {_STATUS_SQL} AS status FROM {values_sql(_CODES, 'stage, code')}")
+def classify_outcomes(spark, sf_dir):
+    return _codes(spark)
+
+
+@query("overall_code", f"SELECT code, CAST(max(CASE WHEN status IN ('failed', 'partial', 'conn_error') THEN 2 WHEN status = 'needs_review' THEN 1 ELSE 0 END) AS INTEGER) AS overall FROM (SELECT CAST(code AS INTEGER) AS code, {_STATUS_SQL} AS status FROM {values_sql(_CODES, 'stage, code')}) GROUP BY code")
+def overall_code(spark, sf_dir):
+    worst = F.when(F.col("status").isin("failed", "partial", "conn_error"), 2).when(F.col("status") == "needs_review", 1).otherwise(0)
+    return _codes(spark).groupBy("code").agg(F.max(worst).alias("overall"))
+
+
+@query("type_label", f"SELECT stage, status, CASE WHEN stage = 'download' AND status = 'failed' THEN 'DOWNLOAD FAILED' WHEN stage = 'normalize' AND status = 'needs_review' THEN 'NEEDS REVIEW' WHEN stage = 'normalize' AND status = 'failed' THEN 'NORMALIZE ERROR' WHEN stage = 'load' AND status = 'ok' THEN 'LOADED' WHEN stage = 'load' AND status = 'partial' THEN 'LOAD PARTIAL' WHEN stage = 'load' AND status = 'conn_error' THEN 'LOAD ERROR' ELSE 'OK' END AS label FROM (SELECT DISTINCT stage, {_STATUS_SQL} AS status FROM {values_sql(_CODES, 'stage, code')})")
+def type_label(spark, sf_dir):
+    label = F.lit("OK")
+    for stage, status, text in reversed(pipeline.LABELS):
+        label = F.when((F.col("stage") == stage) & (F.col("status") == status), text).otherwise(label)
+    return _codes(spark).select("stage", "status").distinct().withColumn("label", label)
+
+
+_ANSWERS = [(404, ""), (403, "<Code>AccessDenied</Code>"), (403, "NoSuchKey"), (403, "blocked"), (429, ""), (500, ""), (503, "x"), (400, ""), (301, "")]
+
+
+@query("http_classify", f"SELECT CAST(status AS INTEGER) AS status, body, CASE WHEN status = 404 OR status = 403 AND (contains(lower(body), 'accessdenied') OR contains(lower(body), 'nosuchkey')) THEN 'notfound' WHEN status IN (403, 429) OR status >= 500 THEN 'ratelimit' ELSE 'neterror' END AS result FROM {values_sql(_ANSWERS, 'status, body')}")
+def http_classify(spark, sf_dir):
+    return spark.createDataFrame(_ANSWERS, "status int, body string").withColumn("result", classify_column(F.col("status"), F.col("body")))
