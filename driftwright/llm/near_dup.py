@@ -7,10 +7,11 @@ pairs within RADIUS meet. At a Jaccard similarity of 0.85 the distance exceeds R
 Links are then confirmed on the full sets of shingle hashes (64 bits).
 
 Groups never become all their pairs. Equal sets are one node from the start. Nodes that meet in a bucket are first
-compared with one leader per bucket and size band, of several leaders the nearest; a bucket whose nodes are all in
-one component by then is done. After STAR_ROUNDS such rounds, with other leaders and bands each time, only pairs
-between different components are left; these are joined under the signature distance and the size bound, so that
-no link between components is lost.
+compared with one leader per bucket and size band, of several leaders the nearest; first leads the node that shares most with others,
+as the text does that they were copied from. A bucket whose nodes are all in one component by then is done. After
+STAR_ROUNDS such rounds, with other leaders and bands, only pairs between different components are left; these are
+joined under the signature distance, the size bound and the distance of long signatures, so that no link between
+components is lost (but for four deviations of the estimate), and few other pairs are made.
 
 Defined results: words are split at ASCII white space, A-Z lower-cased. Texts of one or two words are one shingle;
 null, empty and blank texts have none and are linked with nothing. A null id takes no part (component null, kept).
@@ -35,6 +36,8 @@ SHINGLE = 3
 PERCENT = 85
 SYMBOLS, CHUNKS, RADIUS = 40, 8, 15
 STAR_ROUNDS = 3
+#: Symbols of the long signatures that judge what the rounds with leaders leave over.
+LONG = 1020
 BROADCAST_ROWS = 2_000_000
 _ODD = np.random.RandomState(20240229).randint(1, 2**62, SYMBOLS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.RandomState(7).randint(1, 2**62, SYMBOLS, dtype=np.int64).astype(np.uint64)
@@ -149,6 +152,36 @@ def may_link(a: str, b: str, percent: int, radius: int) -> Column:
     return close & (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
+def long_signatures(sets: DataFrame) -> DataFrame:
+    """``id, long``: signatures of LONG symbols, three bits each, of tables with ``id, hashes``."""
+    ship(sets.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        random = np.random.RandomState(LONG)
+        odd = random.randint(1, 2**62, LONG, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        add = random.randint(1, 2**62, LONG, dtype=np.int64).astype(np.uint64)
+        shifts = np.uint64(3) * np.arange(20, dtype=np.uint64)
+        for part in slices(batches, 128):
+            rows = []
+            for hashes in part.column("hashes"):
+                own = hashes.values.to_numpy().view(np.uint64)
+                least = np.full(LONG, np.iinfo(np.uint64).max, np.uint64)
+                for at in range(0, len(own), 256):
+                    least = np.minimum(least, (own[at : at + 256, None] * odd + add).min(0))
+                bits = np.zeros(-(-LONG // 20) * 20, np.uint64)
+                bits[:LONG] = mixed(least) & np.uint64(7)
+                rows.append((bits.reshape(-1, 20) << shifts).sum(1, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(rows, pa.list_(pa.int64()))], names=["id", "long"])
+
+    return sets.mapInArrow(run, "id bigint, long array<bigint>")
+
+
+def long_radius(percent: int) -> int:
+    """Symbols of a long signature that may differ at the threshold: the mean and four deviations."""
+    p = (1 - percent / 100) * 7 / 8
+    return int(LONG * p + 4 * np.sqrt(LONG * p * (1 - p))) + 1
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets meet the threshold."""
     one = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
@@ -166,6 +199,9 @@ def cluster(active: DataFrame, marks: DataFrame, sets_of: Callable[[DataFrame],
     """
     step = np.log(100 / percent)
     active = stash(active.withColumns({"band0": F.floor(F.log("n") / step), "band1": F.floor(F.log("n") / step + F.lit(0.5))}))
+    # a text that many were copied from shares the keys that most of them have: the more it shares, the better it leads
+    sizes = active.groupBy("key").agg(F.count("*").alias("size"))
+    central = stash(active.select("id", "key").join(sizes, "key").groupBy("id").agg((F.sum("size") * 1024 + F.pmod(F.hash("id"), F.lit(1024))).alias("central")))
     label: DataFrame | None = None
     links: DataFrame | None = None
     for turn in range(rounds + 1):
@@ -179,16 +215,21 @@ def cluster(active: DataFrame, marks: DataFrame, sets_of: Callable[[DataFrame],
             break
         if turn < rounds:
             by = ["key", f"band{turn % 2}"]
-            order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
-            leaders = here.groupBy(*by).agg(F.min_by("id", order).alias("leader"), F.min_by("comp", order).alias("of"))
+            order = F.xxhash64("id", F.lit(turn)) if turn > 1 else F.col("central")
+            ordered = here if turn > 1 else here.join(central, "id")
+            leaders = ordered.groupBy(*by).agg(F.max_by("id", order).alias("leader"), F.max_by("comp", order).alias("of"))
             met = here.join(leaders, by).where("id <> leader and comp <> of").select("id", "leader").distinct()
             near = met.join(marks.alias("a"), met["leader"] == F.col("a.id")).join(marks.alias("b"), met["id"] == F.col("b.id")).where(may_link("a", "b", percent, radius))
             far = differing(F.col("a.s1"), F.col("b.s1")) + differing(F.col("a.s2"), F.col("b.s2"))
             best = near.select(met["leader"].alias("a"), met["id"].alias("b"), far.alias("far")).groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a"))
             pairs = stash(best.select("a", "b"))
         else:
-            a, b = here.alias("a"), here.alias("b")
-            joined = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.comp") != F.col("b.comp")) & may_link("a", "b", percent, radius))
+            long = stash(long_signatures(sets_of(stash(here.select("id").distinct()))))
+            full = here.join(long, "id")
+            a, b = full.alias("a"), full.alias("b")
+            apart = F.aggregate(F.zip_with("a.long", "b.long", differing), F.lit(0), lambda total, d: total + d)
+            meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.comp") != F.col("b.comp"))
+            joined = a.join(b, meet & may_link("a", "b", percent, radius) & (apart <= long_radius(percent)))
             pairs = stash(joined.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
         if label is not None:
             drop_stash(here)
