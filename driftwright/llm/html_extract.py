@@ -35,6 +35,8 @@ from .common import ship, slices, stash
 LEAST_PAGES = 3
 MAIN_SHARE = 0.5
 BROADCAST_ROWS = 100_000
+#: Pages that a worker holds at once.
+SLICE = 128
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe object svg math textarea title select".split())
@@ -159,7 +161,7 @@ def token(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
-def main_text(page: Page, constants: frozenset[int] = frozenset(), slot: str | None = None) -> str:
+def main_text(page: Page, constants: frozenset[int] = frozenset(), slot: int | None = None) -> str:
     """The blocks of the main slot in page order, joined by one space."""
     plain = [b for b in page.blocks if not b.side]
     sizes: dict[int, int] = {}
@@ -171,7 +173,7 @@ def main_text(page: Page, constants: frozenset[int] = frozenset(), slot: str | N
         chosen = [b for b in plain if b.mains and sizes[b.mains[-1]] * 4 >= most]
     else:
         own = [b for b in plain if token(f"{b.path} {b.text}") not in constants]
-        inside = [b for b in own if slot and slot in b.paths]
+        inside = [b for b in own if slot is not None and slot in map(token, b.paths)]
         chosen = inside or own or plain
     return " ".join(b.text for b in chosen)
 
@@ -181,18 +183,22 @@ def host(url) -> F.Column:
 
 
 def tokens_of(pages: DataFrame) -> DataFrame:
-    """``host, page`` (a hash of the html), ``tokens``: struct(token, kind, n, size) with kind p (path) or t (text)."""
-    kind = "array<struct<token:bigint,path:string,n:int,size:bigint>>"
-    arrow = pa.list_(pa.struct([("token", pa.int64()), ("path", pa.string()), ("n", pa.int32()), ("size", pa.int64())]))
+    """``host, page`` (a hash of the html) and ``tokens``: struct(token, depth, n, size).
+
+    depth is that of an element path, 0 for a text block; size is the text inside. All of it is numbers, so that the
+    aggregations over it hash and need no sort.
+    """
+    kind = "array<struct<token:bigint,depth:int,n:int,size:bigint>>"
+    arrow = pa.list_(pa.struct([("token", pa.int64()), ("depth", pa.int32()), ("n", pa.int32()), ("size", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, SLICE):
             rows = []
             for source in part.column("html").to_pylist():
                 page = read(source or "")
-                found = {token(p): {"path": p, "n": n, "size": 0} for p, n in page.paths.items()}
+                found = {token(p): {"depth": p.count("/"), "n": n, "size": 0} for p, n in page.paths.items()}
                 for b in page.blocks:
-                    own = found.setdefault(token(f"{b.path} {b.text}"), {"path": None, "n": 0, "size": len(b.text)})
+                    own = found.setdefault(token(f"{b.path} {b.text}"), {"depth": 0, "n": 0, "size": len(b.text)})
                     own["n"] += 1
                     if not b.side:
                         for p in set(b.paths) - {""}:
@@ -205,22 +211,23 @@ def tokens_of(pages: DataFrame) -> DataFrame:
 
 
 def deduce(pages: DataFrame) -> DataFrame:
-    """Per host: ``constants`` (tokens of template texts) and ``slot`` (the path of the main slot)."""
-    found = tokens_of(pages).select("host", "page", F.explode("tokens").alias("t")).select("host", "page", "t.token", "t.path", "t.n", "t.size")
+    """Per host: ``constants`` (tokens of template texts) and ``slot`` (the token of the main slot's path)."""
+    found = tokens_of(pages).select("host", "page", F.explode("tokens").alias("t")).select("host", "page", "t.token", "t.depth", "t.n", "t.size")
     # one row per host, page and token: copies of a page count once
-    each = found.groupBy("host", "token", "page").agg(F.max("path").alias("path"), F.max("n").alias("n"), F.max("size").alias("size"))
+    each = found.groupBy("host", "token", "page").agg(F.max("depth").alias("depth"), F.max("n").alias("n"), F.max("size").alias("size"))
     vector = F.bit_xor(F.xxhash64("page", "n"))
-    classes = each.groupBy("host", "token").agg(F.max("path").alias("path"), F.count("*").alias("pages"), F.min("n").alias("low"), F.max("n").alias("high"), F.sum("size").alias("size"), vector.alias("vector"))
+    classes = each.groupBy("host", "token").agg(F.max("depth").alias("depth"), F.count("*").alias("pages"), F.min("n").alias("low"), F.max("n").alias("high"), F.sum("size").alias("size"), vector.alias("vector"))
     classes = stash(classes.where(F.col("pages") >= LEAST_PAGES))
-    # the root element is in every page: its vector is that of the class of the whole template
+    # a path that is in every page has the vector of the whole template's class
     whole = classes.groupBy("host").agg(F.max("pages").alias("all"))
     valid = classes.join(whole, "host").where("pages = all and low = high")
-    text = valid.where("path is null")
-    slots = valid.where("path is not null and low = 1")
+    roots = valid.where("low = 1").select("host", "vector").distinct()
+    nested = valid.join(roots, ["host", "vector"], "left_semi")
+    slots = nested.where("depth > 0")
     total = slots.groupBy("host").agg(F.max("size").alias("total"))
     deep = slots.join(total, "host").where((F.col("total") > 0) & (F.col("size") >= MAIN_SHARE * F.col("total")))
-    slot = deep.groupBy("host").agg(F.max_by("path", F.struct(F.size(F.split("path", "/")), "size", "path")).alias("slot"))
-    return slot.join(text.groupBy("host").agg(F.collect_set("token").alias("constants")), "host", "full_outer")
+    slot = deep.groupBy("host").agg(F.max_by("token", F.struct("depth", "size", "token")).alias("slot"))
+    return slot.join(valid.where("depth = 0").groupBy("host").agg(F.collect_set("token").alias("constants")), "host", "full_outer")
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
@@ -233,7 +240,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, frozenset[int]] = {}
-        for part in slices(batches):
+        for part in slices(batches, SLICE):
             texts = []
             for name, source, slot, constants in zip(*(part.column(c).to_pylist() for c in ("host", "html", "slot", "constants")), strict=True):
                 if name not in known:
