@@ -81,4 +81,4 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id
 def remove(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents that contain no item; rows without an id stay."""
     hit = stash(contained(docs, items, doc_id, **options).select(doc_id).distinct())
-    return docs.join(small(hit, hit.count()), doc_id, "left_anti")
+    return docs.join(small(hit, hit.count()), doc_id, "left_anti").select(*(f"`{c}`" for c in docs.columns))

@@ -116,8 +116,11 @@ def masked(text: Column, spans: Column, mask: str = "<secret>") -> Column:
 
 def redact(df: DataFrame, owner: str = "source", repo: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, their secrets masked: all base spans, and the generic ones that are live."""
-    found = candidates(df.withColumn("text_hash", F.xxhash64(text_col)), text_col)
-    judged = ownership(stash(found.where(F.size("base") + F.size("generic") > 0).select(*{owner, repo}, "base", "generic")), owner, repo)
+    own = df.columns
+    at = {name: f"in_{k}" for k, name in enumerate(own)}  # names of the input may clash with those made here
+    owner, repo, text_col = at[owner], at[repo], at[text_col]
+    found = candidates(df.toDF(*at.values()).withColumn("text_hash", F.xxhash64(text_col)), text_col)
+    judged = ownership(stash(found.where(F.size("base") + F.size("generic") > 0).select(*dict.fromkeys([owner, repo]), "base", "generic")), owner, repo)
     plain = found.where(F.size("generic") == 0)
     open_ = found.where(F.size("generic") > 0)
     each = open_.select("text_hash", F.explode("generic").alias("s")).distinct().withColumn("value_hash", F.col("s.value_hash"))
@@ -125,4 +128,4 @@ def redact(df: DataFrame, owner: str = "source", repo: str = "doc_id", text_col:
     opened = open_.join(live, "text_hash", "left").withColumn("base", F.array_sort(F.concat("base", F.coalesce("live", F.array().cast(found.schema["base"].dataType)))))
     both = plain.unionByName(opened.drop("live"))
     out = both.withColumn(text_col, F.when(F.col(text_col).isNotNull(), masked(F.col(text_col), F.col("base"))))
-    return out.select(*df.columns)
+    return out.select(*(F.col(at[name]).alias(name) for name in own))
