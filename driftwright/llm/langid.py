@@ -237,8 +237,13 @@ def train(df: DataFrame, held_in: Column, text_col: str = "text", lang_col: str
     """Fit and calibrate on ``train_docs`` whole documents per language among the rows where ``held_in`` is true."""
     hashed = df.where(held_in & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     hashed = hashed.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = hashed.select("lang", "id", "h").withColumn("r", F.row_number().over(first)).where(F.col("r") <= train_docs).select("lang", "id", "r")
+    first = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 33), "h", "id")
+    # of a language's n documents, those whose hash is among the first 4 * train_docs / n of all hashes: some 4 * train_docs
+    # rows of each language are ranked, however many there are
+    sizes = hashed.groupBy("lang").agg(F.count("*").alias("n"))
+    place = F.shiftrightunsigned("h", 33) / F.lit(2.0**31)
+    near = hashed.select("lang", "id", "h").join(sizes, "lang").where(place <= 4.0 * train_docs / F.col("n"))
+    chosen = near.withColumn("r", F.row_number().over(first)).where(F.col("r") <= train_docs).select("lang", "id", "r")
     # at most train_docs rows of each language
     rows = hashed.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "text", "r")
     words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
