@@ -225,11 +225,14 @@ def cluster(active: DataFrame, marks: DataFrame, sets_of: Callable[[DataFrame],
             pairs = stash(best.select("a", "b"))
         else:
             long = stash(long_signatures(sets_of(stash(here.select("id").distinct()))))
-            full = here.join(long, "id")
+            # a pair meets in many buckets; only the bucket of its least common key makes the row
+            own = here.groupBy("id").agg(F.collect_set("key").alias("keys"))
+            full = here.join(long, "id").join(own, "id")
             a, b = full.alias("a"), full.alias("b")
             apart = F.aggregate(F.zip_with("a.long", "b.long", differing), F.lit(0), lambda total, d: total + d)
             meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.comp") != F.col("b.comp"))
-            joined = a.join(b, meet & may_link("a", "b", percent, radius) & (apart <= long_radius(percent)))
+            once = F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")
+            joined = a.join(b, meet & may_link("a", "b", percent, radius) & once & (apart <= long_radius(percent)))
             pairs = stash(joined.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
         if label is not None:
             drop_stash(here)
@@ -271,7 +274,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     result = stash(link(df, id_col, text_col))
     gone = result.where("not kept").select(id_col).distinct()
     n = gone.count()
-    left = df.join(F.broadcast(gone) if n <= BROADCAST_ROWS else gone, id_col, "left_anti")
+    left = df.join(F.broadcast(gone) if n <= BROADCAST_ROWS else gone, id_col, "left_anti").select(*(f"`{c}`" for c in df.columns))
     twice = result.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
     if twice.isEmpty():
         return left
