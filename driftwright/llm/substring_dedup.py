@@ -86,79 +86,79 @@ class Paragraphs:
         return np.minimum.reduceat(self.shingles * _ODD[k] + _ADD[k], self.first) if len(self.first) else np.empty(0, np.uint64)
 
 
-def paragraphs(df: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
-    """One row per document with arrays of the asked ``columns``, one element per paragraph, then exploded.
+COLUMNS = ["content", "key0", "key1", "n", "s1", "at", "words", "start", "stop"]
 
-    columns: of content, keys, n, s1, at, words, start, stop, hashes.
-    """
+
+def paragraphs(df: DataFrame, id_col: str, text_col: str, columns: list[str] = COLUMNS) -> DataFrame:
+    """One row per paragraph: the document's id and the asked columns, of COLUMNS and ``hashes``."""
     ship(df.sparkSession)
-    kinds = {"content": "bigint", "key0": "bigint", "key1": "bigint", "n": "bigint", "s1": "bigint", "at": "bigint", "words": "bigint", "start": "bigint", "stop": "bigint", "hashes": "array<bigint>"}
-    types = {c: pa.list_(pa.list_(pa.int64())) if c == "hashes" else pa.list_(pa.int64()) for c in columns}
 
     def made(text: str | None) -> dict[str, np.ndarray | list]:
         p, out = Paragraphs(text), {}
-        if "content" in types:
+        if "content" in columns:
             out["content"] = p.contents().view(np.int64)
         for k in range(BANDS):
-            if f"key{k}" in types:
+            if f"key{k}" in columns:
                 out[f"key{k}"] = mixed(p.least(k) + np.uint64(k)).view(np.int64)
-        if "n" in types:
+        if "n" in columns:
             out["n"] = p.sizes
-        if "s1" in types:
+        if "s1" in columns:
             packed = np.zeros(len(p.first), np.uint64)
             for k in range(SYMBOLS):
                 packed |= (mixed(p.least(k)) & np.uint64(7)) << np.uint64(3 * k)
             out["s1"] = packed.view(np.int64)
-        if "at" in types:
-            out["at"] = p.starts
-        if "words" in types:
-            out["words"] = p.ends - p.starts
-        if "start" in types:
+        if "at" in columns:
+            out["at"], out["words"] = p.starts, p.ends - p.starts
+        if "start" in columns:
             points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
             solid = ~((points == 32) | ((points >= 9) & (points <= 13)))
             edge = np.flatnonzero(np.diff(np.concatenate(([0], solid.view(np.int8), [0]))))
             begins, stops = edge[::2], edge[1::2]
             out["start"], out["stop"] = begins[p.starts], stops[p.ends - 1]
-        if "hashes" in types:
+        if "hashes" in columns:
             out["hashes"] = [np.unique(p.shingles[a : a + n]).view(np.int64) for a, n in zip(p.first, p.sizes, strict=True)]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, 256):
             rows = [made(x) for x in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array([r[c] for r in rows], types[c]) for c in columns)], names=["id", *columns])
+            ids = np.repeat(part.column("id").to_numpy(), [len(r[columns[0]]) for r in rows])
+            flat = [pa.array([h for r in rows for h in r[c]], pa.list_(pa.int64())) if c == "hashes" else pa.array(np.concatenate([r[c] for r in rows]) if rows else [], pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *flat], names=["id", *columns])
 
     rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(run, ", ".join(["id bigint", *(f"{c} array<{kinds[c]}>" for c in columns)]))
-    return found.select("id", F.explode(F.arrays_zip(*columns)).alias("p")).select("id", *(f"p.{c}" for c in columns))
+    return rows.mapInArrow(run, ", ".join(["id bigint", *(f"{c} array<bigint>" if c == "hashes" else f"{c} bigint" for c in columns)]))
 
 
-def content_clusters(df: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+def content_clusters(df: DataFrame, paras: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
     """``node, component`` of the contents that are linked with others."""
-    banded = paragraphs(df, id_col, text_col, ["content", "key0", "key1"])
-    keyed = banded.select(F.col("content").alias("id"), F.explode(F.array("key0", "key1")).alias("key"))
+    keyed = paras.select(F.col("content").alias("id"), F.explode(F.array("key0", "key1")).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     met = stash(keyed.join(shared, "key").distinct())
     if met.isEmpty():
         return None
-    wanted = stash(met.select("id").distinct())
-    some = lambda table, column: table.join(F.broadcast(wanted.select(F.col("id").alias(column))) if few else wanted.select(F.col("id").alias(column)), column, "left_semi")
+    wanted = stash(met.select(F.col("id").alias("content")).distinct())
     few = wanted.count() <= BROADCAST_ROWS
-    marks = some(paragraphs(df, id_col, text_col, ["content", "n", "s1"]).drop("id"), "content").dropDuplicates(["content"])
-    marks = stash(marks.select(F.col("content").alias("id"), "n", "s1", F.lit(0).cast("bigint").alias("s2")))
+    some = paras.join(F.broadcast(wanted) if few else wanted, "content", "left_semi")
+    # one document shows a content as well as another
+    marks = stash(some.groupBy(F.col("content").alias("id")).agg(F.min("n").alias("n"), F.min("s1").alias("s1"), F.lit(0).cast("bigint").alias("s2"), F.min("id").alias("shown")))
+    showing = stash(marks.select(F.col("shown").alias(id_col)).distinct())
+    texts = df.select(id_col, text_col).join(F.broadcast(showing) if showing.count() <= BROADCAST_ROWS else showing, id_col, "left_semi")
+    full = paragraphs(texts, id_col, text_col, ["content", "hashes"]).drop("id")
+    sets = stash(full.join(F.broadcast(wanted) if few else wanted, "content", "left_semi").dropDuplicates(["content"]).withColumnRenamed("content", "id"))
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        small = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        full = paragraphs(df, id_col, text_col, ["content", "hashes"]).select(F.col("content").alias("id"), "hashes")
-        return full.join(small, "id", "left_semi").dropDuplicates(["id"])
+        return sets.join(ids, "id", "left_semi")
 
+    marks = marks.drop("shown")
     return cluster(met.join(marks, "id"), marks, sets_of, PERCENT, RADIUS)
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per removed run: id, ``start`` and ``stop`` (code points), ``n_words``, ``kept_in`` and ``clusters``."""
-    label = content_clusters(df, id_col, text_col)
-    contents = paragraphs(df, id_col, text_col, ["content"]).groupBy("content").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    paras = stash(paragraphs(df, id_col, text_col))
+    label = content_clusters(df, paras, id_col, text_col)
+    contents = paras.groupBy("content").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     if label is None:
         repeated = contents.where("low < high").select("content", F.col("content").alias("cluster"), F.col("low").alias("kept_in"))
     else:
@@ -168,7 +168,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         repeated = known.select("content", "cluster").join(owners.select("cluster", "kept_in"), "cluster")
     repeated = stash(repeated.select("content", "cluster", "kept_in"))
     n = repeated.count()
-    each = paragraphs(df, id_col, text_col, ["content", "at", "words", "start", "stop"])
+    each = paras.select("id", "content", "at", "words", "start", "stop")
     gone = each.join(F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated, "content").where("id <> kept_in")
     # neighbours: within a document, a paragraph follows another where that one's last word ends
     order = Window.partitionBy("id").orderBy("at", "start")
