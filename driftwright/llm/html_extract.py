@@ -3,10 +3,13 @@
 Pages of one host share a template. Every page is read into tokens: element paths, and text blocks with their paths.
 Tokens that share their occurrence vector over the host's different pages form an equivalence class; vectors are
 compared by fingerprints, sums of hashes of (page, count), so a host of any size is aggregated before it is
-shuffled and no page list is ever gathered. A class that occurs equally often in every page is valid for the template;
-paths nest the classes, for a path lies in its parent's slot. Texts of the template are its constants; the slots that
-remain hold what differs. The main slot is the article (or main) element where there is one, else the deepest
-template path that holds most of the text that is neither constant nor in a region named as something else.
+shuffled and no page list is ever gathered. A text is a constant of the template if most pages of the host have it,
+however often, or if its class holds an element path: it then comes with that element wherever this stands, as the
+labels of a repeated record and the texts of a part that only some pages have do. Constants are taken out of every
+page; what remains fills the slots. The main slot is the deepest path of most pages that holds most of the text outside
+of regions named as something else. An article (or main) element is a hint: its own fillings are the main text unless
+the main slot holds more than twice as much. Where constants are all that an article has, as in a host of copies
+of one article, it stays whole unless the main slot holds more.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out of it.
 
 Pages whose host has fewer than LEAST_PAGES different pages are read without a template. Templates are broadcast
@@ -161,21 +164,28 @@ def token(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
-def main_text(page: Page, constants: frozenset[int] = frozenset(), slot: int | None = None) -> str:
-    """The blocks of the main slot in page order, joined by one space."""
-    plain = [b for b in page.blocks if not b.side]
+def _articles(blocks: list[Block]) -> list[Block]:
+    """The blocks in an article, or in several of like size."""
     sizes: dict[int, int] = {}
-    for b in plain:
+    for b in blocks:
         if b.mains:
             sizes[b.mains[-1]] = sizes.get(b.mains[-1], 0) + len(b.text)
-    if sizes:  # an article, or several of like size
-        most = max(sizes.values())
-        chosen = [b for b in plain if b.mains and sizes[b.mains[-1]] * 4 >= most]
-    else:
-        own = [b for b in plain if token(f"{b.path} {b.text}") not in constants]
-        inside = [b for b in own if slot is not None and slot in map(token, b.paths)]
-        chosen = inside or own or plain
-    return " ".join(b.text for b in chosen)
+    most = max(sizes.values(), default=0)
+    return [b for b in blocks if b.mains and sizes[b.mains[-1]] * 4 >= most]
+
+
+def main_text(page: Page, constants: frozenset[int] = frozenset(), slot: int | None = None) -> str:
+    """The blocks of the main slot in page order, joined by one space."""
+    plain = [b for b in page.blocks if not b.side]
+    own = [b for b in plain if token(f"{b.path} {b.text}") not in constants] if constants else plain
+    inside = [b for b in own if slot in map(token, b.paths)] if slot is not None else []
+    held = sum(len(b.text) for b in inside)
+    for hinted, share in ((_articles(own), MAIN_SHARE), (_articles(plain), 1)):
+        if hinted:
+            if sum(len(b.text) for b in hinted) >= share * held:
+                return " ".join(b.text for b in hinted)
+            break
+    return " ".join(b.text for b in inside or own or plain)
 
 
 def host(url) -> F.Column:
@@ -216,18 +226,20 @@ def deduce(pages: DataFrame) -> DataFrame:
     # one row per host, page and token: copies of a page count once
     each = found.groupBy("host", "token", "page").agg(F.max("depth").alias("depth"), F.max("n").alias("n"), F.max("size").alias("size"))
     vector = F.bit_xor(F.xxhash64("page", "n"))
-    classes = each.groupBy("host", "token").agg(F.max("depth").alias("depth"), F.count("*").alias("pages"), F.min("n").alias("low"), F.max("n").alias("high"), F.sum("size").alias("size"), vector.alias("vector"))
+    classes = each.groupBy("host", "token").agg(F.max("depth").alias("depth"), F.count("*").alias("pages"), F.max("n").alias("high"), F.sum("size").alias("size"), vector.alias("vector"))
     classes = stash(classes.where(F.col("pages") >= LEAST_PAGES))
-    # a path that is in every page has the vector of the whole template's class
     whole = classes.groupBy("host").agg(F.max("pages").alias("all"))
-    valid = classes.join(whole, "host").where("pages = all and low = high")
-    roots = valid.where("low = 1").select("host", "vector").distinct()
-    nested = valid.join(roots, ["host", "vector"], "left_semi")
-    slots = nested.where("depth > 0")
+    known = classes.join(whole, "host").withColumn("most", 2 * F.col("pages") > F.col("all"))
+    # a text in the class of a path comes with that element wherever it stands
+    paths = known.where("depth > 0")
+    texts = known.where("depth = 0")
+    nested = texts.where("not most").join(paths.select("host", "vector").distinct(), ["host", "vector"], "left_semi")
+    constants = texts.where("most").select("host", "token").union(nested.select("host", "token"))
+    slots = paths.where("most and high = 1")
     total = slots.groupBy("host").agg(F.max("size").alias("total"))
     deep = slots.join(total, "host").where((F.col("total") > 0) & (F.col("size") >= MAIN_SHARE * F.col("total")))
     slot = deep.groupBy("host").agg(F.max_by("token", F.struct("depth", "size", "token")).alias("slot"))
-    return slot.join(valid.where("depth = 0").groupBy("host").agg(F.collect_set("token").alias("constants")), "host", "full_outer")
+    return slot.join(constants.groupBy("host").agg(F.collect_set("token").alias("constants")), "host", "full_outer")
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -297,6 +297,24 @@ def test_templates_leave_out_what_pages_share(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_templates_hold_inside_articles(spark):
+    rng, words = random.Random(9), vocabulary(4)
+    texts, rows = [(prose(rng, 30, words), prose(rng, 30, words)) for _ in range(12)], []
+    for k, (one, two) in enumerate(texts):
+        notes = "".join(f'<div class="x4"><b>Note</b><p>{prose(rng, 5, words)}</p></div>' for _ in range(1 + k % 3))
+        often = "<p>Most pages have this line</p>" if k < 9 else ""
+        some = '<div class="series"><p>Only a few pages have this part</p></div>' if k < 4 else ""
+        rows.append((k, f"https://a.example/{k}", f'<body><article><p>{one}</p><p class="x1">Each article says so</p>{often}{some}{notes}<p>{two}</p></article></body>'))
+        rows.append((100 + k, f"https://b.example/{k}", f'<body><div class="x2"><p>{one}</p><p>{two}</p></div><article><p>Teaser {k}</p></article></body>'))
+    rows += [(200 + k, f"https://c.example/{k}", f'<body><article><p>One article for all</p></article><div class="x6">{k} x</div></body>') for k in range(5)]
+    found = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for k, (one, two) in enumerate(texts):
+        assert found[k].startswith(one) and found[k].endswith(two) and found[100 + k] == f"{one} {two}"
+        # the notes' own words stay, their labels go
+        assert len(found[k].split()) == 60 + 5 * (1 + k % 3) and not any(w in found[k] for w in ("Note", "Each", "Most", "Only"))
+    assert {found[200 + k] for k in range(5)} == {"One article for all"}
+
+
 # -- 7
 
 
