@@ -15,6 +15,8 @@ from driftwright.llm import bpe, decontaminate, langid, near_dup, secret_scan
 from driftwright.llm.common import crc_remainder, stash, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Near-duplicates of the pipeline: words of a shingle, least Jaccard similarity in percent.
+SHINGLE, PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    return near_dup.keep_one(docs)
+    return near_dup.keep_one(docs, shingle=SHINGLE, percent=PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,8 @@ A signature has SYMBOLS MinHash values of 16 bits; its distance is the number of
 are split into CHUNKS chunks. Two signatures within RADIUS agree, by pigeonhole, in some chunk but for at most
 ``RADIUS // CHUNKS`` symbols, so each chunk is looked up once for every way of leaving that many symbols out: all
 pairs within RADIUS meet. At a Jaccard similarity of 0.85 the distance exceeds RADIUS with a chance of 1e-4.
+Beyond RADIUS, pairs that have a chunk with one symbol or none apart still meet: at 0.8 all but 3e-5. Shingle size and
+threshold can be given; the signature distance that is let through follows the threshold (``short_radius``).
 Links are then confirmed on the full sets of shingle hashes (64 bits).
 
 Groups never become all their pairs. Equal sets are one node from the start. Nodes that meet in a bucket are first
@@ -13,7 +15,7 @@ STAR_ROUNDS such rounds, with other leaders and bands, only pairs between differ
 joined under the signature distance, the size bound and the distance of long signatures, so that no link between
 components is lost (but for four deviations of the estimate), and few other pairs are made.
 
-Defined results: words are split at ASCII white space, A-Z lower-cased. Texts of one or two words are one shingle;
+Defined results: words are split at ASCII white space, A-Z lower-cased. Texts of fewer words than a shingle are one shingle;
 null, empty and blank texts have none and are linked with nothing. A null id takes no part (component null, kept).
 Repeated rows belong together. Rows that share an id count as one node. An empty table gives an empty table.
 """
@@ -103,13 +105,13 @@ def packed(signatures: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def sign(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sign(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """Per row: id, set size, two hashes of the set, the packed signature and the bucket keys."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            sets = [shingle_set(x) for x in part.column("text").to_pylist()]
+            sets = [shingle_set(x, shingle) for x in part.column("text").to_pylist()]
             marks = np.stack([signature(s) for s in sets]) if sets else np.zeros((0, SYMBOLS), np.uint64)
             one = np.array([mixed(s).sum(dtype=np.uint64) for s in sets], np.uint64)
             two = np.array([np.bitwise_xor.reduce(mixed(s + _M1)) if len(s) else 0 for s in sets], np.uint64)
@@ -124,12 +126,12 @@ def sign(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, n bigint, h1 bigint, h2 bigint, s1 bigint, s2 bigint, keys array<bigint>")
 
 
-def full_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+def full_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``id, hashes`` of the wanted ids, from their whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 128):
-            sets = [shingle_set(x).view(np.int64) for x in part.column("text").to_pylist()]
+            sets = [shingle_set(x, shingle).view(np.int64) for x in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "hashes"])
 
     n = wanted.count()
@@ -182,6 +184,12 @@ def long_radius(percent: int) -> int:
     return int(LONG * p + 4 * np.sqrt(LONG * p * (1 - p))) + 1
 
 
+def short_radius(percent: int) -> int:
+    """As long_radius for the packed signatures, with one symbol more to spare; RADIUS at PERCENT."""
+    p = (1 - percent / 100) * 7 / 8
+    return int(SYMBOLS * p + 4 * np.sqrt(SYMBOLS * p * (1 - p))) + 2
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets meet the threshold."""
     one = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
@@ -248,9 +256,9 @@ def cluster(active: DataFrame, marks: DataFrame, sets_of: Callable[[DataFrame],
     return label
 
 
-def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``df``: id, ``n_shingles``, ``component_id`` and ``kept``."""
-    signed = stash(sign(df, id_col, text_col))
+    signed = stash(sign(df, id_col, text_col, shingle))
     same = ["n", "h1", "h2"]
     alone = signed.where("id is not null and n > 0")
     nodes = stash(alone.groupBy(*same).agg(F.min("id").alias("rep")))
@@ -258,7 +266,7 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     marks = reps.select("id", "n", "s1", "s2")
     rows = reps.select("id", "n", "s1", "s2", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    label = cluster(rows.join(shared, "key"), marks, lambda wanted: full_sets(df, id_col, text_col, wanted), PERCENT, RADIUS)
+    label = cluster(rows.join(shared, "key"), marks, lambda wanted: full_sets(df, id_col, text_col, wanted, shingle), percent, short_radius(percent))
     out = signed.select("id", *same).join(nodes, same, "left")
     if label is not None:
         out = out.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -269,9 +277,9 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each group: that of the smallest id. Rows with a null id stay."""
-    result = stash(link(df, id_col, text_col))
+    result = stash(link(df, id_col, text_col, shingle, percent))
     gone = result.where("not kept").select(id_col).distinct()
     n = gone.count()
     left = df.join(F.broadcast(gone) if n <= BROADCAST_ROWS else gone, id_col, "left_anti").select(*(f"`{c}`" for c in df.columns))

@@ -42,3 +42,29 @@ def test_pipeline(spark, tmp_path):
     assert set(found) == set(kept)
     for k, r in found.items():
         assert list(struct.unpack(f"<{r.n_tokens}I", bytes(r.ids_le))) == exact.encode_ordinary(kept[k].text)
+
+
+def test_near_dedup_takes_five_words_and_four_fifths(spark):
+    rng = random.Random(23)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(5, 9))) for _ in range(6000)]
+    texts: list[str] = []
+    for size in (200, 90, 400):
+        for more in (0.18, 0.2, 0.22, 0.24, 0.248, 0.26, 0.28):  # appended: similarities on both sides of 0.8
+            base = rng.sample(words, size)
+            texts += [" ".join(base), " ".join(base + rng.sample(words, round(size * more)))]
+        base = rng.sample(words, size)  # changed here and there
+        texts += [" ".join(rng.choice(words) if rng.random() < rate else w for w in base) for rate in (0, 0.01, 0.015, 0.02, 0.025, 0.03)]
+    texts += ["one two three four", "one two three four", "one two three"]
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))})
+    group = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert {r.doc_id for r in kept.collect()} == set(group) and len(set(group)) < len(texts) - 10
