@@ -76,15 +76,19 @@ RULES = [
     (r"<proprietary:>(?:<reserved:>)?", "Proprietary"),
     (r"<unknown:>", "UNKNOWN"),
 ]
-#: Only texts that hold one of these are cut into sentences; every known sentence has one.
+#: Only texts that hold one of these are cut into sentences; every known sentence has one, or asks for a licence.
 HINT = r"(?i)licen[cs]e|[al]?gpl|apache-|permission|redistribut|neither the name|endorse|provided|later version|applicable law|obtain a copy|bsd|mpl|creative commons|\bcc0|\bcc-zero|\bcc[ -]by|attribution-|public domain|proprietary|unauthori|rights reserved"
 #: A sentence that speaks of a licence without any known one.
 ASKS = r"\b(?:licen[cs]ed under|under the terms of|under the .{1,60}licen[cs]e)\b"
+#: What the sentences are normalised by; the gate reads raw text, so each of its spaces may be any of these.
+SPACE = r"[^\p{L}\p{N}.,;!?'()/+-]+"
+#: Whether a raw text may hold a hint or ask; the other forms of ASKS hold a hint.
+GATE = (HINT + r"|under the terms of").replace(r"\bcc[ -]by", r"\bcc(?: |-)by").replace(" ", SPACE)
 
 
 def sentences(text: Column) -> Column:
     """Normalised sentences: lower case, other characters than letters, digits and a few marks as one space."""
-    flat = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.,;!?'()/+-]+", " ")
+    flat = F.regexp_replace(F.lower(text), SPACE, " ")
     return F.split(flat, r"(?<=[.!?;])\s+(?![0-9])")
 
 
@@ -97,7 +101,7 @@ def identifiers(text: Column) -> Column:
         return F.when((every == "") & F.rlike(sentence, F.lit(ASKS)), "<unknown:>").otherwise(every)
 
     hinted = F.filter(sentences(text), lambda s: F.rlike(s, F.lit(HINT)) | F.rlike(s, F.lit(ASKS)))
-    return F.when(F.rlike(text, F.lit(HINT)), F.array_join(F.transform(hinted, known), "")).otherwise("")
+    return F.when(F.rlike(text, F.lit(GATE)), F.array_join(F.transform(hinted, known), "")).otherwise("")
 
 
 def _version(sentence: Column, pattern: str) -> Column:

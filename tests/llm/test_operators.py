@@ -364,6 +364,13 @@ def test_licenses(spark, text, expected):
     assert ",".join(row.licenses) == expected
 
 
+def test_licenses_in_wrapped_text(spark):
+    texts = ["It is released into the public\ndomain.", "Creative\nCommons Attribution 4.0", "By CC\nBY 4.0 here", "All rights\n  reserved", "Use it under the\tterms *of* the Foo agreement.", "CC\u00a0BY-SA 4.0", "Neither\nthe name", "Any\r\nday, or any later\n version", "Under the foot of a hill."]
+    found = {r.doc_id: (r.sentence_ids, r.licenses) for r in license_scan.scan(docs(spark, texts), ["doc_id"]).collect()}
+    assert [found[k][0] for k in range(9)] == [["unlicense:"], ["cc_by:4.0"], ["cc_by:4.0"], ["reserved:"], ["unknown:"], ["cc_by_sa:4.0"], ["bsd_names:"], ["later:"], []]
+    assert [found[k][1] for k in (0, 1, 2, 4, 5)] == [["Public-domain"], ["CC-BY-4.0"], ["CC-BY-4.0"], ["UNKNOWN"], ["CC-BY-SA-4.0"]]
+
+
 # -- 1
 
 
