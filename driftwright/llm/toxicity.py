@@ -10,7 +10,7 @@ forms; the score is that at least one term is meant.
 Term weights are learned from labelled documents: whole words and word beginnings, seen in one form or in two, are
 chosen greedily, each for the toxic documents that no earlier term covers. A term weighs as much as its precision,
 with one form and with more: a beginning that ordinary words share by chance says little until a second form
-comes. Copies of a document count once.
+comes. Copies of a document, texts of equal word sets, count once.
 The fit takes a bounded sample: TOXIC_DOCS toxic and CLEAN_DOCS other whole documents, those of least id hash.
 Scoring reads every whole text in one pass without a shuffle.
 
@@ -192,11 +192,11 @@ def _frequent(texts: list[str], least: int) -> Callable[[str], bool]:
 
 
 def _unlike(texts: Iterable[str]) -> list[str]:
-    """One text of each group of copies: texts whose two least word hashes agree count as copies."""
-    seen: dict[tuple, str] = {}
+    """One text of each group of copies: texts of equal word sets."""
+    seen: dict[bytes, str] = {}
     for text in texts:
-        least = sorted({xxhash.xxh64_intdigest(w) for w in set(_TOKENS.findall(text.lower()))})[:2]
-        seen.setdefault((tuple(least), len(least)), text)
+        words = "\n".join(sorted(set(_TOKENS.findall(text.lower()))))
+        seen.setdefault(xxhash.xxh3_128_digest(words.encode("utf-8", "replace")), text)
     return list(seen.values())
 
 

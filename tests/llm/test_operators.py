@@ -344,6 +344,12 @@ def test_contexts_of_the_grammar():
     assert m.score("I will kill you")[0] > m.score("kill the process")[0] == m.grammar.rest
 
 
+def test_only_copies_count_as_copies():
+    rng, words = random.Random(14), vocabulary(15, 60)
+    texts = list(dict.fromkeys(" ".join(sorted(rng.sample(words, 40))) for _ in range(300)))
+    assert toxicity._unlike([*texts, texts[0].upper() + "!", " ".join(reversed(texts[1].split()))]) == texts
+
+
 # -- 2
 
 
