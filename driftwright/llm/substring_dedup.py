@@ -6,10 +6,14 @@ paragraph's shingles are five words. Paragraphs of equal shingle sets are one co
 banded (BANDS bands of one row: at a similarity of 0.8 a pair meets with a chance of 0.96, and a passage has several
 paragraphs), those that meet are verified on their full shingle sets, and linked contents are clustered by components.
 Of each cluster that comes in several documents, the document of the smallest id keeps its occurrences; in the
-others they are removed. Neighbouring removals make a run; runs of MIN_WORDS words or more are reported, so a passage
-of 50 words is found and a chance phrase is not.
+others they are removed. Neighbouring removals make a run. Each run is extended to the left and right over the words that
+equal those around the kept occurrence (WINDOW words at most), past edits of up to GAP words that five equal words
+follow, so it reaches to the ends of the passage. Runs that touch, or that are GAP words or fewer apart and kept in one document, become one; then runs of MIN_WORDS
+words or more are reported, so an edited passage is found whole and a chance phrase is not. Where a document keeps several
+occurrences of a paragraph, the first one extends the run.
 
-No table of texts is shuffled. Contents are counted with aggregation before the shuffle; buckets are compared with
+Only texts with a run or a kept occurrence are read for that, shuffled where there are too many to broadcast what is
+asked of them; no other step shuffles texts. Contents are counted with aggregation before the shuffle; buckets are compared with
 leaders, not pair by pair, as in the near-duplicate join.
 
 Defined results: null and empty texts have no paragraph; what repeats within one document only is no repeat; rows
@@ -36,6 +40,10 @@ BANDS = 2
 #: Symbols of the packed signature, and how many may differ at a similarity of 0.8 (four deviations).
 SYMBOLS, RADIUS = 20, 12
 MIN_WORDS = 15
+#: Words to either side that a run may be extended by, and the longest unmatched gap that is joined over.
+WINDOW, GAP = 64, 5
+#: Texts whose asked positions are broadcast.
+ASKED_ROWS = 200_000
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _words = Memo(lambda w: xxhash.xxh3_64_intdigest(w.strip(_PUNCTUATION)), size=400_000)
 
@@ -56,6 +64,14 @@ def cuts(ids: np.ndarray, reach: int = REACH) -> np.ndarray:
     return np.concatenate(([0], at[at < n], [n]))
 
 
+def word_edges(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the words, in code points."""
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+    solid = ~((points == 32) | ((points >= 9) & (points <= 13)))
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], solid.view(np.int8), [0]))))
+    return edge[::2], edge[1::2]
+
+
 class Paragraphs:
     """The paragraphs of a text: word ranges, shingle hashes and what is made of them."""
 
@@ -110,10 +126,7 @@ def paragraphs(df: DataFrame, id_col: str, text_col: str, columns: list[str] = C
         if "at" in columns:
             out["at"], out["words"] = p.starts, p.ends - p.starts
         if "start" in columns:
-            points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-            solid = ~((points == 32) | ((points >= 9) & (points <= 13)))
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], solid.view(np.int8), [0]))))
-            begins, stops = edge[::2], edge[1::2]
+            begins, stops = word_edges(text)
             out["start"], out["stop"] = begins[p.starts], stops[p.ends - 1]
         if "hashes" in columns:
             out["hashes"] = [np.unique(p.shingles[a : a + n]).view(np.int64) for a, n in zip(p.first, p.sizes, strict=True)]
@@ -154,6 +167,82 @@ def content_clusters(df: DataFrame, paras: DataFrame, id_col: str, text_col: str
     return cluster(met.join(marks, "id"), marks, sets_of, PERCENT, RADIUS)
 
 
+def windows(df: DataFrame, asked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, place, right, near, edge`` of the asked ``id, place, right``: hashes of the words from a word position
+    outward, nearest first, and their outer edges in code points."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 128):
+            out: list[tuple] = []
+            for doc, text, places in zip(*(part.column(c).to_pylist() for c in ("id", "text", "places")), strict=True):
+                words = (text or "").encode("utf-8", "replace").lower().split()
+                begins, stops = word_edges(text)
+                for p in places:
+                    at, right = p["place"], p["right"]
+                    span = slice(at, at + WINDOW) if right else slice(max(at - WINDOW, 0), at)
+                    near = np.array([_words[w] for w in words[span]], np.uint64).view(np.int64)
+                    edge = (stops if right else begins)[span]
+                    out.append((doc, at, right, near if right else near[::-1], edge if right else edge[::-1]))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["id", "place", "right", "near", "edge"])
+
+    by_text = stash(asked.groupBy("id").agg(F.collect_set(F.struct("place", "right")).alias("places")))
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    rows = rows.join(F.broadcast(by_text) if by_text.count() <= ASKED_ROWS else by_text, "id")
+    made = rows.mapInArrow(run, "id bigint, place bigint, right boolean, near array<bigint>, edge array<bigint>")
+    # rows that share an id
+    return made.dropDuplicates(["id", "place", "right"])
+
+
+def reach(own: list[int], kept: list[int]) -> int:
+    """How many words of ``own`` equal those of ``kept``, edits of at most GAP words to either side included where
+    SHINGLE equal words follow them."""
+    i = j = 0
+    while True:
+        while i < len(own) and j < len(kept) and own[i] == kept[j]:
+            i, j = i + 1, j + 1
+        past = sorted(((a, b) for a in range(GAP + 1) for b in range(GAP + 1)), key=lambda ab: (ab[0] + ab[1], ab))
+        same = lambda a, b: (x := own[i + a : i + a + SHINGLE]) == kept[j + b : j + b + SHINGLE] and len(x) == SHINGLE
+        step = next(((a, b) for a, b in past if same(a, b)), None)
+        if step is None:
+            return i
+        i, j = i + step[0], j + step[1]
+
+
+def extended(df: DataFrame, runs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Runs with ``at``, ``until``, ``start`` and ``stop`` moved outward over what equals the kept occurrence.
+
+    runs: ``id, run, at, until, start, stop`` and the outer paragraphs ``first`` and ``last``, struct(content, cluster,
+    kept_in); kept: ``content, cluster, at, until`` of the kept occurrences.
+    """
+    exact = kept.groupBy("cluster", "content").agg(F.min(F.struct("at", "until")).alias("exact"))
+    near = kept.groupBy("cluster").agg(F.min(F.struct("at", "until")).alias("like"))
+    side = lambda name, place, right: runs.select("id", "run", f"{name}.*", F.col(place).alias("place"), F.lit(right).alias("right"))
+    edges = side("first", "at", False).union(side("last", "until", True))
+    edges = edges.join(exact, ["cluster", "content"], "left").join(near, "cluster")
+    found = F.coalesce("exact", "like")
+    edges = stash(edges.select("id", "run", "place", "right", "kept_in", F.when(F.col("right"), found["until"]).otherwise(found["at"]).alias("kept_place")))
+    asked = edges.select("id", "place", "right").union(edges.select("kept_in", "kept_place", "right")).distinct()
+    seen = stash(windows(df, asked, id_col, text_col))
+    there = seen.select(F.col("id").alias("kept_in"), F.col("place").alias("kept_place"), "right", F.col("near").alias("kept_near"))
+    both = edges.join(seen, ["id", "place", "right"]).join(there, ["kept_in", "kept_place", "right"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sides = zip(*(part.column(c).to_pylist() for c in ("near", "kept_near", "edge")), strict=True)
+            more = [reach(near, kept_near) for near, kept_near, _ in sides]
+            edge = [edges[n - 1] if n else None for n, edges in zip(more, part.column("edge").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "run", "right")), pa.array(more, pa.int64()), pa.array(edge, pa.int64())], names=["id", "run", "right", "more", "edge"])
+
+    both = both.select("id", "run", "right", "near", "kept_near", "edge").mapInArrow(run, "id bigint, run bigint, right boolean, more bigint, edge bigint").where("more > 0")
+    moved = both.groupBy("id", "run").agg(*(F.max(F.when(F.col("right") == r, F.col(c))).alias(f"{c}_{name}") for r, name in ((False, "left"), (True, "right")) for c in ("more", "edge")))
+    out = runs.join(moved, ["id", "run"], "left")
+    return out.withColumns({
+        "at": F.col("at") - F.coalesce("more_left", F.lit(0)), "until": F.col("until") + F.coalesce("more_right", F.lit(0)),
+        "start": F.coalesce("edge_left", "start"), "stop": F.coalesce("edge_right", "stop"),
+    })
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per removed run: id, ``start`` and ``stop`` (code points), ``n_words``, ``kept_in`` and ``clusters``."""
     paras = stash(paragraphs(df, id_col, text_col))
@@ -169,10 +258,23 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     repeated = stash(repeated.select("content", "cluster", "kept_in"))
     n = repeated.count()
     each = paras.select("id", "content", "at", "words", "start", "stop")
-    gone = each.join(F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated, "content").where("id <> kept_in")
+    shown = each.join(F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated, "content").withColumn("until", F.col("at") + F.col("words"))
+    gone = shown.where("id <> kept_in")
     # neighbours: within a document, a paragraph follows another where that one's last word ends
     order = Window.partitionBy("id").orderBy("at", "start")
-    new = F.coalesce((F.lag(F.col("at") + F.col("words")).over(order) != F.col("at")).cast("int"), F.lit(1))
-    runs = gone.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    found = runs.groupBy("id", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"), F.array_sort(F.collect_set("kept_in")).alias("kept_in"), F.array_sort(F.collect_set("cluster")).alias("clusters"))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = order.rowsBetween(Window.unboundedPreceding, 0)
+    new = F.coalesce((F.lag("until").over(order) != F.col("at")).cast("int"), F.lit(1))
+    outer = F.struct("content", "cluster", "kept_in")
+    runs = gone.withColumn("new", new).withColumn("run", F.sum("new").over(numbered)).groupBy("id", "run").agg(
+        F.min("at").alias("at"), F.max("until").alias("until"), F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by(outer, "at").alias("first"), F.max_by(outer, "at").alias("last"),
+        F.collect_set("kept_in").alias("kept_in"), F.collect_set("cluster").alias("clusters"),
+    )
+    runs = extended(df, stash(runs), shown.where("id = kept_in").select("content", "cluster", "at", "until"), id_col, text_col)
+    gap = F.col("at") - F.max("until").over(before)
+    other = F.lag("last.kept_in").over(order) != F.col("first.kept_in")
+    apart = F.coalesce(((gap > GAP) | ((gap > 0) & other)).cast("int"), F.lit(1))
+    joined = runs.withColumn("new", apart).withColumn("run", F.sum("new").over(numbered))
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    found = joined.groupBy("id", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("until") - F.min("at")).alias("n_words"), union("kept_in"), union("clusters"))
     return found.where(F.col("n_words") >= MIN_WORDS).select(F.col("id").alias(id_col), "start", "stop", "n_words", "kept_in", "clusters")

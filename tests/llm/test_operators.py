@@ -399,6 +399,27 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeats(docs(spark, []).limit(0)).count() == 0
 
 
+def test_edited_passages_are_removed_whole(spark):
+    rng, words, texts, spans = random.Random(22), vocabulary(31), [], {}
+    for k in range(200):  # pairs: exact passages of 51 words, and those of 60 with one or two words changed
+        passage = [rng.choice(words) for _ in range(51 if k % 3 == 0 else 60)]
+        copy = list(passage)
+        for _ in range(k % 3):
+            copy[rng.randrange(5, 55)] = f"changed{k}"
+        for own in (passage, copy):
+            lead = [rng.choice(words) for _ in range(40)]
+            spans[len(texts)] = (len(lead), len(lead) + len(own))
+            texts.append(" ".join(lead + own + [rng.choice(words) for _ in range(40)]))
+    got = dict.fromkeys(range(1, 400, 2), 0)
+    for r in substring_dedup.repeats(docs(spark, texts)).collect():
+        low, high = (len(texts[r.doc_id][:n].split()) for n in (r.start, r.stop))
+        begin, end = spans[r.doc_id]
+        assert r.doc_id % 2 and r.kept_in == [r.doc_id - 1] and r.n_words == high - low and begin - 8 <= low < high <= end + 8
+        got[r.doc_id] += min(high, end) - max(low, begin)
+    share = [n / (spans[k][1] - spans[k][0]) for k, n in got.items()]
+    assert sum(s == 0 for s in share) <= 3 and sum(share) / len(share) > 0.9, (sum(s == 0 for s in share), sum(share) / len(share))
+
+
 def test_digests_follow_the_contract(spark, tmp_path):
     from driftwright.llm import queries
 
