@@ -27,8 +27,8 @@ BASE_KINDS = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]+", 0, 24),
 }
-#: Runs of 24 to 512 letters, digits, - and _ with a capital, a small letter and two digits.
-GENERIC = (r"(?<![A-Za-z0-9_+/.=-])(?=[A-Za-z_-]*[0-9][A-Za-z_-]*[0-9])(?=[a-z0-9_-]*[A-Z])(?=[A-Z0-9_-]*[a-z])[A-Za-z0-9_-]{24,512}(?![A-Za-z0-9_+/.=-])", 0, 24)
+#: Runs of 24 or more letters, digits, - and _ with a capital, a small letter and two digits.
+GENERIC = (r"(?<![A-Za-z0-9_+/.=-])(?=[A-Za-z_-]*[0-9][A-Za-z_-]*[0-9])(?=[a-z0-9_-]*[A-Z])(?=[A-Z0-9_-]*[a-z])[A-Za-z0-9_-]{24,}+(?![A-Za-z0-9_+/.=-])", 0, 24)
 KIND_ORDER = [*BASE_KINDS, "generic"]
 #: A value that so many owners hold is an example.
 EXAMPLE_OWNERS = 3

@@ -240,6 +240,13 @@ def test_secrets_against_brute_force(spark):
     assert secret_scan.scan(df.limit(0), ["doc_id"]).count() == 0 and secret_scan.scan(df.union(df), ["doc_id"]).count() == 2 * len(texts)
 
 
+def test_long_generic_runs_are_found(spark):
+    run = "aB3-x9Z_" * 200
+    texts = [f"key {run} end", f"key {run}/ end", "a" * 100_000 + " end"]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.scan(docs(spark, texts), ["doc_id"]).collect()}
+    assert found[0] == [("generic", 4, 1604)] and found[1] == []
+
+
 def test_ownership_counts(spark):
     rows = [(k, "token=SECRETVALUE1", f"s{k}") for k in range(4)] + [(9, "token=ONLYMINE2x", "s0"), (10, "token=ONLYMINE2x", "s0"), (11, "token=TWOOWNERS3", "a"), (12, "token=TWOOWNERS3", None)]
     spans = {r.doc_id: r.spans[0] for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), ["doc_id"]).collect()}
