@@ -144,14 +144,16 @@ class Matcher:
 
     def clauses(self, text: str) -> Iterator[str]:
         """The clauses that hold a term, each once."""
-        low, end = text.lower(), -1
+        low, end, begin = text.lower(), -1, 0
         for hit in self._hit.finditer(low):
             if hit.start() < end:
                 continue
             stop = _BREAK.search(low, hit.end())
             end = stop.start() if stop else len(low)
-            begin = max(low.rfind(c, max(0, end - 20_000), hit.start()) for c in ".!?;:\n") + 1
-            yield low[max(begin, 0) : end]
+            # the last break before the term; what lies before an earlier clause's begin was looked at already
+            begin = max(begin, *(low.rfind(c, begin, hit.start()) + 1 for c in ".!?;:\n"))
+            yield low[begin:end]
+            begin = end
 
     def score(self, text: str | None) -> tuple[float, int, set[str]]:
         """Score, number of matched clauses, contexts of the terms."""

@@ -357,6 +357,13 @@ def test_only_copies_count_as_copies():
     assert toxicity._unlike([*texts, texts[0].upper() + "!", " ".join(reversed(texts[1].split()))]) == texts
 
 
+def test_a_long_clause_begins_at_its_own_break():
+    m = toxicity.Grammar({"idiot$": (0.9, 0.9)}).compile()
+    before, clause = "she said that. ", " an idiot" + " word" * 6000
+    assert list(m.clauses(before + clause)) == [" " + clause] and m.score(before + clause)[2] == {"plain"}
+    assert list(m.clauses("idiot one. no; an idiot two! idiot")) == ["idiot one", " an idiot two", " idiot"]
+
+
 # -- 2
 
 
