@@ -3,28 +3,53 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a slice that leaves a Python worker at once; bounds the memory of long texts.
 SLICE_ROWS = 512
 
+#: Bytes of an Arrow batch between the JVM and a Python worker, where the session leaves the default.
+BATCH_BYTES = 16 << 20
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 _folders: dict[str, str] = {}
+_memos: dict[str, Callable[[], None]] = {}
 _shipped: set[str] = set()
 
 
+def claim(name: str, give_up: Callable[[], None] = lambda: None) -> None:
+    """Called where an operator begins work in a Python worker, which Spark keeps for later stages: what every other
+    operator remembers there is given up, and its memory goes back to the system."""
+    others = [forget for other, forget in _memos.items() if other != name]
+    _memos.clear()
+    _memos[name] = give_up
+    if others:
+        for forget in others:
+            forget()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once per application; on a cluster they may not have it."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
     _shipped.add(context.applicationId)
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     package = Path(__file__).resolve().parent.parent
     archive = Path(tempfile.mkdtemp(prefix="driftwright-code-")) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w") as out:
@@ -49,14 +74,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _folders[app]
 
 
-def stash(df: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
+def stash(df: DataFrame, partitions: Sequence[str] = (), dictionary: bool = True) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and is computed once. The files go when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/driftwright-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.option("compression", "zstd").option("parquet.enable.dictionary", str(dictionary).lower())
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)
@@ -89,22 +114,6 @@ def crc_remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
 
 
-class Memo(dict):
-    """A bounded memo: ``memo[key]`` computes a missing value; emptied when full, which changes no result."""
-
-    def __init__(self, make: Callable, size: int = 300_000, longest: int = 64):
-        super().__init__()
-        self.make, self.size, self.longest = make, size, longest
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.size:
-                self.clear()
-            self[key] = value
-        return value
-
-
 def slices(batches: Iterator, rows: int = SLICE_ROWS) -> Iterator:
     """Arrow batches cut into slices of a bounded number of rows."""
     for batch in batches:

@@ -26,12 +26,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, drop_stash, ship, slices, stash
+from .common import claim, drop_stash, ship, slices, stash
 from .components import components
+from .words import _M1, _M2, hash_words, mixed, text_slices
 
 SHINGLE = 3
 #: 100 * intersection >= PERCENT * union
@@ -43,41 +43,44 @@ LONG = 1020
 BROADCAST_ROWS = 2_000_000
 _ODD = np.random.RandomState(20240229).randint(1, 2**62, SYMBOLS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.RandomState(7).randint(1, 2**62, SYMBOLS, dtype=np.int64).astype(np.uint64)
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_S30, _S27, _S31, _S32 = (np.uint64(n) for n in (30, 27, 31, 32))
-_words = Memo(xxhash.xxh3_64_intdigest, size=400_000)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> _S30)) * _M1
-    x = (x ^ (x >> _S27)) * _M2
-    return x ^ (x >> _S31)
+def rolling(ids: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the ``size`` words from each place on."""
+    rolled = np.zeros(max(len(ids) - size + 1, 0), np.uint64)
+    for k in range(size):
+        rolled += ids[k : k + len(rolled)] * np.uint64((int(_M1) + 2 * k) % 2**64)
+    return mixed(rolled)
+
+
+def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of the word shingles of every text."""
+    words = hash_words(column)
+    rolled, sets, at = rolling(words.ids, size), [], 0
+    for n in words.counts.tolist():
+        if n >= size:
+            sets.append(np.unique(rolled[at : at + n - size + 1]))
+        elif n:
+            sets.append(mixed(rolling(words.ids[at : at + n], n) + np.uint64(n * int(_M2) % 2**64)))
+        else:
+            sets.append(np.empty(0, np.uint64))
+        at += n
+    return sets
 
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's word shingles."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < size:
-        return np.array([xxhash.xxh3_64_intdigest(b"\x00".join(words), seed=len(words))], np.uint64)
-    ids = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    rolled = np.zeros(len(ids) - size + 1, np.uint64)
-    for k in range(size):
-        rolled = mixed(rolled + ids[k : k + len(rolled)] + np.uint64(k + 1))
-    return np.unique(rolled)
+    return shingle_sets(pa.array([text], pa.string()), size)[0]
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """SYMBOLS values of 16 bits; long sets are taken in pieces to bound memory."""
-    least = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 8192):
-        part = hashes[at : at + 8192]
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """SYMBOLS values of 16 bits for each set."""
+    least = np.full((len(sets), SYMBOLS), np.iinfo(np.uint64).max, np.uint64)
+    full = np.flatnonzero([len(s) for s in sets])
+    if len(full):
+        flat = np.concatenate([sets[k] for k in full])
+        first = np.concatenate(([0], np.cumsum([len(sets[k]) for k in full])[:-1]))
         for k in range(SYMBOLS):
-            low = (part * _ODD[k] + _ADD[k]).min()
-            if low < least[k]:
-                least[k] = low
+            least[full, k] = np.minimum.reduceat(flat * _ODD[k] + _ADD[k], first)
     return mixed(least) & np.uint64(0xFFFF)
 
 
@@ -110,13 +113,15 @@ def sign(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> D
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            sets = [shingle_set(x, shingle) for x in part.column("text").to_pylist()]
-            marks = np.stack([signature(s) for s in sets]) if sets else np.zeros((0, SYMBOLS), np.uint64)
+        claim("near_dup")
+        for part in text_slices(batches):
+            sets = shingle_sets(part.column("text"), shingle)
+            marks = signatures(sets)
             one = np.array([mixed(s).sum(dtype=np.uint64) for s in sets], np.uint64)
             two = np.array([np.bitwise_xor.reduce(mixed(s + _M1)) if len(s) else 0 for s in sets], np.uint64)
             low, high = packed(marks)
-            keys = pa.array(list(chunk_keys(marks).view(np.int64)), pa.list_(pa.int64()))
+            keys = chunk_keys(marks).view(np.int64)
+            keys = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32), keys.ravel())
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x.view(np.int64)) for x in (one, two, low, high)), keys],
                 names=["id", "n", "h1", "h2", "s1", "s2", "keys"],
@@ -130,8 +135,9 @@ def full_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shin
     """``id, hashes`` of the wanted ids, from their whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 128):
-            sets = [shingle_set(x, shingle).view(np.int64) for x in part.column("text").to_pylist()]
+        claim("near_dup")
+        for part in text_slices(batches, rows=128):
+            sets = [s.view(np.int64) for s in shingle_sets(part.column("text"), shingle)]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "hashes"])
 
     n = wanted.count()
@@ -226,7 +232,10 @@ def cluster(active: DataFrame, marks: DataFrame, sets_of: Callable[[DataFrame],
             order = F.xxhash64("id", F.lit(turn)) if turn > 1 else F.col("central")
             ordered = here if turn > 1 else here.join(central, "id")
             leaders = ordered.groupBy(*by).agg(F.max_by("id", order).alias("leader"), F.max_by("comp", order).alias("of"))
-            met = here.join(leaders, by).where("id <> leader and comp <> of").select("id", "leader").distinct()
+            # joined by a hash of the bucket: both sides then come from an exchange of their own, so a bucket that holds
+            # much of the table is split into several tasks (skew join); the aggregation before it is partial
+            leaders = leaders.select(F.xxhash64(*by).alias("bucket"), "leader", "of")
+            met = here.select("id", "comp", F.xxhash64(*by).alias("bucket")).join(leaders, "bucket").where("id <> leader and comp <> of").select("id", "leader").distinct()
             near = met.join(marks.alias("a"), met["leader"] == F.col("a.id")).join(marks.alias("b"), met["id"] == F.col("b.id")).where(may_link("a", "b", percent, radius))
             far = differing(F.col("a.s1"), F.col("b.s1")) + differing(F.col("a.s2"), F.col("b.s2"))
             best = near.select(met["leader"].alias("a"), met["id"].alias("b"), far.alias("far")).groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a"))
