@@ -11,11 +11,13 @@ adds one row per owner and task; the join back to the spans has one row per hash
 
 Defined results: a null or empty text has no spans; a null owner counts as one owner of its own, a null
 repository as none; repeated rows each get their spans and count as one repository; empty tables give empty
-tables. Offsets are code points, the end exclusive.
+tables. Offsets are code points, the end exclusive. Columns of the input may have any names, also those made here.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,9 @@ EXAMPLE_OWNERS = 3
 #: Values with so few different characters are placeholders.
 PLACEHOLDER_CHARACTERS = 4
 
+#: Matches of a text whose lengths are summed together.
+BLOCK = 64
+
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value_hash:string,plain:boolean>>"
 
 
@@ -48,19 +53,35 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
     both = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), matches.alias("match"), values.alias("value"))
-    sized = F.transform(both, lambda x: F.struct((F.length(x["piece"]) + F.coalesce(F.length(x["match"]), F.lit(0))).alias("both"), F.length(x["match"]).alias("own"), x["value"].alias("value")))
+    sized = F.transform(both, lambda x: F.struct((F.length(x["piece"]) + F.coalesce(F.length(x["match"]), F.lit(0))).cast("bigint").alias("both"), F.length(x["match"]).alias("own"), x["value"].alias("value")))
+
+    def total(parts: Column, first: Column | int, n: Column | int) -> Column:
+        return F.aggregate(F.slice(parts, F.lit(first) if isinstance(first, int) else first, F.lit(n) if isinstance(n, int) else n), F.lit(0).cast("bigint"), lambda t, y: t + y)
 
-    def span(x: Column, i: Column) -> Column:
-        end = F.aggregate(F.slice(sized, F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda total, y: total + y["both"])
+    def ends(lengths: Column) -> Column:
+        """Running sums: those of whole blocks first, then within the block, so many matches cost no square."""
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")), lambda b: total(lengths, b * BLOCK + 1, BLOCK))
+        before = lambda sums: F.transform(sums, lambda _, b: total(sums, 1, b))
+        block = lambda i: F.floor(i / BLOCK).cast("int")
+        made = lambda starts: F.transform(lengths, lambda _, i: starts[block(i)] + total(lengths, block(i) * BLOCK + 1, i - block(i) * BLOCK + 1))
+        return bound(blocks, lambda sums: bound(before(sums), made))
+
+    def span(x: Column, end: Column) -> Column:
         return F.struct(
             (end - x["own"]).alias("start"), F.lit(KIND_ORDER.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"),
             F.sha2(x["value"], 256).alias("value_hash"), (F.size(F.array_distinct(F.split(x["value"], ""))) <= PLACEHOLDER_CHARACTERS).alias("plain"), F.length(x["value"]).alias("size"),
         )
 
-    found = F.filter(F.transform(sized, span), lambda x: x["size"] >= least)
+    spans = bound(sized, lambda own: F.zip_with(own, ends(F.transform(own, lambda x: x["both"])), span))
+    found = F.filter(spans, lambda x: x["size"] >= least)
     return F.when(F.rlike(text, F.lit(pattern)), found.cast(SPAN.replace("plain:boolean", "plain:boolean,size:int"))).otherwise(F.array().cast(SPAN.replace("plain:boolean", "plain:boolean,size:int")))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, as the only element of an array."""
+    return F.transform(F.array(value), use)[0]
+
+
 def candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Append ``base`` and ``generic``, arrays of spans in order of start and kind."""
     text = clean(text_col)
@@ -85,15 +106,17 @@ def scan(df: DataFrame, keys: list[str], owner: str = "source", repo: str = "doc
 
     The text is read once; what is kept of it is the spans.
     """
-    wanted = list(dict.fromkeys([*keys, owner, repo]))
-    found = stash(candidates(df, text_col).select(*wanted, F.monotonically_increasing_id().alias("row"), "base", "generic"))
-    judged = ownership(found, owner, repo)
+    own = {name: f"in_{k}" for k, name in enumerate(dict.fromkeys([*keys, owner, repo, text_col]))}  # names may clash with those made here
+    rows = df.select(*(F.col(f"`{name}`").alias(at) for name, at in own.items()))
+    wanted = [own[name] for name in dict.fromkeys([*keys, owner, repo])]
+    found = stash(candidates(rows, own[text_col]).select(*wanted, F.monotonically_increasing_id().alias("row"), "base", "generic"))
+    judged = ownership(found, own[owner], own[repo])
     each = found.select("row", F.explode(F.concat("base", "generic")).alias("s")).withColumn("value_hash", F.col("s.value_hash"))
     each = each.join(judged, "value_hash").where((F.col("s.kind") != "generic") | (F.col("verdict") == "live"))
     span = F.struct("s.start", "s.rank", "s.end", "s.kind", "value_hash", "n_owners", "n_repos", "verdict")
     spans = each.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     empty = F.array().cast(spans.schema["spans"].dataType)
-    return found.join(spans, "row", "left").select(*keys, F.coalesce("spans", empty).alias("spans"))
+    return found.join(spans, "row", "left").select(*(F.col(own[k]).alias(k) for k in keys), F.coalesce("spans", empty).alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -119,13 +142,14 @@ def redact(df: DataFrame, owner: str = "source", repo: str = "doc_id", text_col:
     own = df.columns
     at = {name: f"in_{k}" for k, name in enumerate(own)}  # names of the input may clash with those made here
     owner, repo, text_col = at[owner], at[repo], at[text_col]
-    found = candidates(df.toDF(*at.values()).withColumn("text_hash", F.xxhash64(text_col)), text_col)
-    judged = ownership(stash(found.where(F.size("base") + F.size("generic") > 0).select(*dict.fromkeys([owner, repo]), "base", "generic")), owner, repo)
+    # searched once: the rows are written with their spans, so that a row has one number in all that follows
+    found = stash(candidates(df.toDF(*at.values()), text_col).withColumn("row", F.monotonically_increasing_id()))
+    judged = ownership(found.where(F.size("base") + F.size("generic") > 0), owner, repo)
     plain = found.where(F.size("generic") == 0)
     open_ = found.where(F.size("generic") > 0)
-    each = open_.select("text_hash", F.explode("generic").alias("s")).distinct().withColumn("value_hash", F.col("s.value_hash"))
-    live = each.join(judged.where("verdict = 'live'"), "value_hash").groupBy("text_hash").agg(F.collect_list("s").alias("live"))
-    opened = open_.join(live, "text_hash", "left").withColumn("base", F.array_sort(F.concat("base", F.coalesce("live", F.array().cast(found.schema["base"].dataType)))))
+    each = open_.select("row", F.explode("generic").alias("s")).withColumn("value_hash", F.col("s.value_hash"))
+    live = each.join(judged.where("verdict = 'live'").select("value_hash"), "value_hash").groupBy("row").agg(F.collect_list("s").alias("live"))
+    opened = open_.join(live, "row", "left").withColumn("base", F.array_sort(F.concat("base", F.coalesce("live", F.array().cast(found.schema["base"].dataType)))))
     both = plain.unionByName(opened.drop("live"))
     out = both.withColumn(text_col, F.when(F.col(text_col).isNotNull(), masked(F.col(text_col), F.col("base"))))
     return out.select(*(F.col(at[name]).alias(name) for name in own))
