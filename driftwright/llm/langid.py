@@ -27,11 +27,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, slices
+from .common import claim, ship
+from .words import text_slices
 
 _WHOLE, _RUNS = re.compile(r"\b[^\W\d_]+\b").findall, re.compile(r"[^\W\d_]+").findall
 BEGIN, END = 0x110000, 0x110001
 ORDER = 5
+#: Languages whose sizes are broadcast; beyond, as in a column of other values, they are joined by shuffle.
+LANGUAGES = 10_000
 #: Documents per language that the models are fitted to.
 TRAIN_DOCS = 500
 #: Of these, one in so many only calibrates the rejection.
@@ -40,7 +43,8 @@ CALIBRATION = 5
 REJECT_SD, REJECT_BITS = 6.0, 1.0
 #: Sharpness of the score: natural-log units per bit of difference in cross-entropy.
 SHARPNESS = 12.0
-MEMO_SIZE = 400_000
+#: Words whose scores a worker remembers.
+MEMO_SIZE = 150_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -242,7 +246,8 @@ def train(df: DataFrame, held_in: Column, text_col: str = "text", lang_col: str
     # rows of each language are ranked, however many there are
     sizes = hashed.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.shiftrightunsigned("h", 33) / F.lit(2.0**31)
-    near = hashed.select("lang", "id", "h").join(sizes, "lang").where(place <= 4.0 * train_docs / F.col("n"))
+    # one row per language, broadcast: the bound applies before any row is shuffled by language
+    near = hashed.select("lang", "id", "h").join(F.broadcast(sizes) if sizes.count() <= LANGUAGES else sizes, "lang").where(place <= 4.0 * train_docs / F.col("n"))
     chosen = near.withColumn("r", F.row_number().over(first)).where(F.col("r") <= train_docs).select("lang", "id", "r")
     # at most train_docs rows of each language
     rows = hashed.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "text", "r")
@@ -274,11 +279,12 @@ def identify(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame
     schema = T.StructType([*kept, *(T.StructField(name, kind) for name, (kind, _) in OUTPUTS.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("langid", _identifiers.clear)
         own = _identifiers.get(token)
         if own is None:
             _identifiers.clear()
             own = _identifiers[token] = Identifier(shared.value)
-        for part in slices(batches):
+        for part in text_slices(batches, text_col):
             made = [own.predict(x) for x in part.column(text_col).to_pylist()]
             columns = [[row[k] for row in made] for k in range(len(OUTPUTS))]
             yield pa.RecordBatch.from_arrays(
