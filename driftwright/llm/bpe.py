@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from .common import ship, slices
+from .common import claim, ship
+from .words import text_slices
 
 #: Distinct pre-tokens that a worker remembers.
-MEMO_SIZE = 500_000
+MEMO_SIZE = 200_000
 
 #: White space as the vocabulary's own library reads it: the Unicode property, written out.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -135,8 +136,9 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, text_col: str =
     schema = T.StructType([*kept, *(T.StructField(name, kind) for name, (kind, _) in OUTPUTS.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("bpe", _codecs.clear)
         own = codec(model.value, pattern)
-        for part in slices(batches):
+        for part in text_slices(batches, text_col):
             ids = [own.encode(x or "") for x in part.column(text_col).to_pylist()]
             made = {"n_tokens": [len(x) // 4 for x in ids], "ids_le": ids, "decoded": [own.decode(x) for x in ids]}
             yield pa.RecordBatch.from_arrays(

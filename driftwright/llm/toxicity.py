@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, slices
+from .common import claim, ship
+from .words import text_slices
 
 TOXIC_DOCS, CLEAN_DOCS = 1_500, 4_500
 #: A learned term covers so many toxic documents (or this share of them, if more) that no earlier one does.
@@ -281,11 +282,12 @@ def score(df: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
     schema = T.StructType([*(f for f in df.schema.fields if f.name in names), *(T.StructField(n, kind) for n, (kind, _) in OUTPUTS.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity", _matchers.clear)
         if token not in _matchers:
             _matchers.clear()
             _matchers[token] = grammar.compile()
         own = _matchers[token]
-        for part in slices(batches):
+        for part in text_slices(batches, text_col):
             made = [own.score(x)[:2] for x in part.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column(n) for n in names] + [pa.array([float(s) for s, _ in made], pa.float64()), pa.array([n for _, n in made], pa.int64())], names=[*names, *OUTPUTS]

@@ -440,3 +440,73 @@ def test_digests_follow_the_contract(spark, tmp_path):
     docs(spark, ["Hello world", None]).drop("n_tokens", "score").write.parquet(str(tmp_path / "documents.parquet"))
     rows = {r.doc_id: r for r in queries.op3_byte_bpe(spark, str(tmp_path)).collect()}
     assert rows[0].decoded_sha256 == hashlib.sha256(b"Hello world").hexdigest() and rows[1].ids_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_many_secrets_in_one_text_and_clashing_names(spark):
+    text = " ".join(f"é secret: value{k:04d}" for k in range(300)) + " end"
+    rows = [(1, text, "s", "b", "g", "r"), (2, "", "s", "b", "g", "r"), (3, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, base string, generic string, row string")
+    found = {r.doc_id: r for r in secret_scan.scan(df, ["doc_id", "base", "generic", "row"]).collect()}
+    expected = [(m.start(), m.end()) for m in re.finditer(r"secret: value\d{4}", text)]
+    assert [(s.start, s.end) for s in found[1].spans] == expected and (found[1].base, found[1].generic, found[1].row) == ("b", "g", "r")
+    assert found[2].spans == [] and found[3].spans == []
+    masked = {r.doc_id: r for r in secret_scan.redact(df).collect()}
+    assert masked[1].text == " ".join(["é <secret>"] * 300) + " end" and masked[1].row == "r" and masked[3].text is None
+
+
+def test_an_operator_in_a_used_worker_finds_no_old_memo(spark):
+    from driftwright.llm import common
+
+    given_up = []
+    common.claim("one", lambda: given_up.append("one"))
+    common.claim("one", lambda: given_up.append("one again"))
+    assert given_up == []
+    common.claim("two")
+    assert given_up == ["one again"]
+    common.claim("three")
+    assert given_up == ["one again"]
+
+
+def test_word_hashes_equal_those_of_split_words():
+    import pyarrow as pa
+
+    from driftwright.llm import words
+
+    texts = ["Hello, wörld  (foo) bar", None, "", "  x", "hello", "(HELLO)", "\x0bwörld\x0c", "...", "foo" * 300_000 + " a " + "b" * 10, "Wörld hello"]
+    for strip in (False, True):
+        found = words.hash_words(pa.array(texts), strip)
+        split = [(t or "").encode().lower().split() for t in texts]
+        assert found.counts.tolist() == [len(w) for w in split]
+        flat = [w.strip(words._PUNCTUATION) if strip else w for ws in split for w in ws]
+        seen = dict(zip(flat, found.ids.tolist(), strict=True))
+        assert [seen[w] for w in flat] == found.ids.tolist() and len(set(seen.values())) == len(seen)
+    column = pa.array(["skipped", *texts]).slice(1)
+    assert (words.hash_words(column, True).ids == found.ids).all()
+
+
+def test_op1_pairs_of_paragraphs_against_brute_force(spark):
+    """Contents that share a bucket and are alike end in one component, and no others."""
+    rng, words = random.Random(31), vocabulary(12)
+    base = prose(rng, 30, words).split()
+    texts = [" ".join([rng.choice(words) if rng.random() < 0.03 else w for w in base]) for _ in range(60)]
+    texts += [prose(rng, 6, words) + " " + " ".join(base[:9]) + " " + prose(rng, 6, words) for _ in range(60)]
+    df = docs(spark, texts)
+    some = substring_dedup.texts_of(df, "doc_id", "text")
+    paras = substring_dedup.paragraphs(some)
+    contents = paras.groupBy("content").agg(F.min("key0").alias("key0"), F.min("key1").alias("key1"), F.min("id").alias("low"), F.count("*").alias("times"))
+    keys = {r.content: (r.key0, r.key1) for r in contents.collect()}
+    sets = {r.id: set(r.hashes) for r in substring_dedup.shown_sets(some, contents).collect()}
+    group = {c: c for c in keys}
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a in keys:
+        for b in keys:
+            if a < b and set(keys[a]) & set(keys[b]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                group[y] = x
+    found = {r.node: r.component for r in substring_dedup.content_clusters(some, contents).collect()}
+    assert {c: found.get(c, c) for c in keys} == {c: find(c) for c in keys} and len(set(found.values())) < len(found)
