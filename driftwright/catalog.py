@@ -6,6 +6,8 @@ driver's tables through the same functions that the command line uses.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,7 @@ from .plans.planner import Action, Plan, plan_file
 from .plans.transform import apply, compile_action
 from .session import configure
 from .sources.download import classify_column
+from .sources.files import month_files
 from .sources.footer import family_stats, file_stats, read_footers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +106,27 @@ def weighted_operations(spark, sf_dir):
     return chosen.groupBy("operation").agg(F.count("*").alias("n"))
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share: under ``spark.checkpoint.dir``, a temporary one where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{(root or 'file://' + tempfile.mkdtemp(prefix='driftwright-')).rstrip('/')}/load-{uuid.uuid4().hex}"
+
+
+@query("load_roundtrip", "SELECT CAST(extract(year FROM o_orderdate) AS INTEGER) AS year, count(*) AS table_rows, count(DISTINCT extract(month FROM o_orderdate)) AS months, 'skip' AS again FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1")
+def load_roundtrip(spark, sf_dir):
+    """Orders as a partitioned family, several files a month, loaded into year tables; a second plan finds nothing to do."""
+    root = _scratch(spark)
+    orders = read(spark, sf_dir, "orders").where("o_orderdate is not null")
+    orders.withColumn("year", F.year("o_orderdate")).withColumn("month", F.month("o_orderdate")).repartition(2).write.partitionBy("year", "month").parquet(f"{root}/normalized")
+    sink, months = load.ParquetSink(spark, f"{root}/warehouse"), month_files(spark, f"{root}/normalized")
+    for plan in load.plan_years(spark, months, sink, "orders"):
+        load.execute(spark, plan, months, sink, "orders")
+    again = {p.year: p.action for p in load.plan_years(spark, months, sink, "orders")}
+    recorded = sink.manifest("orders")
+    rows = [(y, n, sum(m[0] == y for m in recorded), again[y]) for y, n in sink.counts("orders").items()]
+    return spark.createDataFrame(rows, "year int, table_rows bigint, months bigint, again string")
+
+
 # -- normalisation -----------------------------------------------------------------------------------------------
 
 

@@ -7,11 +7,14 @@ import sys
 from datetime import date
 from pathlib import Path
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from .operators import drift
 from .operators.load import LoaderError, ParquetSink, execute, plan_years
 from .plans import bootstrap, pipeline
+from .plans.mapping import MappingError
 from .plans.normalize import normalize
 from .session import configure
 from .sources import download
@@ -56,17 +59,25 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, http=
 
     def put(name: str) -> int:
         own = session()
-        sink, months = ParquetSink(own, str(root / "warehouse")), month_files(own, out(name))
         try:
+            sink, months = ParquetSink(own, str(root / "warehouse")), month_files(own, out(name))
             plans = plan_years(own, months, sink, name, args.full_refresh)
-            for plan in plans:
-                print(f"{name} {plan.year}: {plan.action} {list(plan.months)}")
-                if not args.dry_run:
-                    execute(own, plan, months, sink, name)
-        except LoaderError as problem:
+        except (LoaderError, PySparkException) as problem:
             print(problem, file=sys.stderr)
             return 2
-        return 0
+        code = 0
+        for plan in plans:
+            print(f"{name} {plan.year}: {plan.action} {list(plan.months)}")
+            try:
+                if not args.dry_run:
+                    execute(own, plan, months, sink, name)
+            except LoaderError as problem:
+                print(problem, file=sys.stderr)
+                return 2
+            except (PySparkException, Py4JError) as problem:  # this year failed, the others go on
+                print(f"{name} {plan.year}: {problem}", file=sys.stderr)
+                code = 1
+        return code
 
     if args.command == "drift":
         if not (root / "raw").exists():
@@ -80,7 +91,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, http=
         for name in types:
             try:
                 results[name] = bootstrap.curate(session(), raw(name), name, f"{maps(name)}.yaml", today.isoformat())
-            except (RuntimeError, FileNotFoundError) as problem:
+            except (MappingError, RuntimeError, FileNotFoundError) as problem:
                 print(problem, file=sys.stderr)
                 code = 2
         print(bootstrap.curation_report(results))

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import exact_cast
 from ..functions.types import spark_type
-from ..sources.files import month_of
+from ..sources.files import NAMED_MONTH
 from .planner import Action, Plan
 
 
@@ -44,12 +42,6 @@ def apply(df: DataFrame, plan: Plan) -> DataFrame:
     return df.select(*(compile_action(a) for a in plan.actions))
 
 
-@dataclass
-class Written:
-    paths: list[str]
-    rows: DataFrame
-
-
 def group_by_plan(plans: dict[str, Plan]) -> list[tuple[Plan, list[str]]]:
     """Files whose plans are the same; equal plans mean equal source types, so one reader schema serves all."""
     groups: dict[tuple, list[str]] = {}
@@ -63,8 +55,8 @@ def normalized(spark: SparkSession, plans: dict[str, Plan]) -> DataFrame:
     out: DataFrame | None = None
     for plan, paths in group_by_plan(plans):
         raw = spark.read.parquet(*paths)
-        name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4})-(\d{2})", 0)
-        part = raw.select(*(compile_action(a) for a in plan.actions), F.substring(name, 1, 4).cast("int").alias("year"), F.substring(name, 6, 2).cast("int").alias("month"))
+        part_of = lambda k: F.regexp_extract(F.col("_metadata.file_name"), NAMED_MONTH, k).cast("int")
+        part = raw.select(*(compile_action(a) for a in plan.actions), part_of(1).alias("year"), part_of(2).alias("month"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -87,7 +79,3 @@ def write_file(spark: SparkSession, path: str, plan: Plan, target: str) -> None:
     if not system.rename(part, final):
         raise OSError(f"could not publish {target}")
     system.delete(system_path(staging), True)
-
-
-def months(plans: dict[str, Plan]) -> list[tuple[int, int]]:
-    return sorted(m for m in map(month_of, plans) if m)

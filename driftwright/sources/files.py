@@ -9,15 +9,24 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 PERIOD = r"_([^_/]+)\.parquet$"
-MONTH = re.compile(r"(\d{4})-(\d{2})")
+#: Year and month at the end of a monthly file's name, and in the folders of a partitioned family.
+NAMED_MONTH = r"(?:^|_)(\d{4})-(0[1-9]|1[0-2])\.parquet$"
+FOLDER_MONTH = re.compile(r"/year=(\d{4})/month=(0?[1-9]|1[0-2])/[^/]+$")
 
 
 @dataclass(frozen=True)
 class MonthFile:
+    """One month of a family: its file, or its first one and the others."""
+
     year: int
     month: int
     path: str
     source_row_count: int
+    others: tuple[str, ...] = ()
+
+    @property
+    def paths(self) -> list[str]:
+        return [self.path, *self.others]
 
 
 def list_parquet(spark: SparkSession, folder: str) -> list[str]:
@@ -56,20 +65,28 @@ def by_period(paths: list[str]) -> list[str]:
 
 
 def month_of(path: str) -> tuple[int, int] | None:
-    """Year and month in the file's name, None without."""
-    found = MONTH.search(path.rsplit("/", 1)[-1])
+    """Year and month of the file's partition folders, else those that end its name, else None."""
+    found = FOLDER_MONTH.search(path) or re.search(NAMED_MONTH, path.rsplit("/", 1)[-1])
     return (int(found[1]), int(found[2])) if found else None
 
 
 def month_files(spark: SparkSession, folder: str) -> list[MonthFile]:
-    """The months on disk with their rows, counted in the footers."""
+    """The months on disk with their rows, counted in the footers.
+
+    A month has all part files of its partition folder; a file of the month's name counts where it has no folder.
+    """
     from .footer import read_footers
 
-    paths = [p for p in list_parquet(spark, folder) if month_of(p)]
+    months: dict[tuple[int, int], dict[bool, list[str]]] = {}
+    for p in list_parquet(spark, folder):
+        if when := month_of(p):
+            months.setdefault(when, {}).setdefault(bool(FOLDER_MONTH.search(p)), []).append(p)
+    chosen = {when: sorted(found.get(True) or found[False]) for when, found in sorted(months.items())}
+    paths = [p for own in chosen.values() for p in own]
     if not paths:
         return []
     counts = {r["path"]: r["rows"] for r in read_footers(spark, paths).groupBy("path").agg(F.max("num_rows").alias("rows")).collect()}
-    return [MonthFile(*month_of(p), p, counts[p]) for p in paths]
+    return [MonthFile(*when, own[0], sum(counts[p] for p in own), tuple(own[1:])) for when, own in chosen.items()]
 
 
 def is_parquet(path: str) -> bool:

@@ -167,3 +167,47 @@ def test_missing_folders(spark, tmp_path, capsys):
     assert main(["drift", "yellow", "--data-dir", str(tmp_path)], spark) == 1
     assert main(["run", "yellow", "--dry-run", "--load", "--data-dir", str(tmp_path)], spark) == 0
     assert main(["run", "yellow", "--download-only", "--load", "--data-dir", str(tmp_path)], spark) == 2
+
+
+@pytest.mark.parametrize("layout", [[], ["--one-file"]])
+def test_what_normalize_writes_is_loaded_once(spark, tmp_path, layout, capsys):
+    configure(spark)
+    raw = tmp_path / "raw"
+    rows = {"2023-01": 5, "2023-02": 6, "2023-03": 4, "2024-01": 5}
+    for when, n in rows.items():
+        write(spark, raw, "yellow", when, [(k, T0, float(k)) for k in range(n)], "vendorid bigint, tpep_pickup_datetime timestamp_ntz, trip_distance double")
+    run = lambda command, *options: main([command, "yellow", *options, "--data-dir", str(tmp_path)], spark)
+    assert run("normalize", *layout) == 3 and run("normalize", *layout) == 0
+    months = month_files(spark, str(tmp_path / "normalized" / "yellow"))
+    assert {(m.year, m.month): m.source_row_count for m in months} == {(2023, 1): 5, (2023, 2): 6, (2023, 3): 4, (2024, 1): 5}
+    capsys.readouterr()
+    assert run("load") == 0 and capsys.readouterr().out.splitlines() == ["yellow 2023: append [1, 2, 3]", "yellow 2024: append [1]"]
+    sink = ParquetSink(spark, str(tmp_path / "warehouse"))
+    assert sink.counts("yellow") == {2023: 15, 2024: 5} and sink.manifest("yellow") == [(2023, 1, 5), (2023, 2, 6), (2023, 3, 4), (2024, 1, 5)]
+    assert run("load") == 0 and capsys.readouterr().out.splitlines() == ["yellow 2023: skip []", "yellow 2024: skip []"]
+    write(spark, raw, "yellow", "2024-02", [(1, T0, 1.0)], "vendorid bigint, tpep_pickup_datetime timestamp_ntz, trip_distance double")
+    assert run("normalize", *layout) == 0 and run("load") == 0
+    assert sink.counts("yellow") == {2023: 15, 2024: 6}
+
+
+def test_a_year_that_fails_leaves_the_others(spark, tmp_path, monkeypatch, capsys):
+    configure(spark)
+    for when in ("2023-01", "2024-01"):
+        write(spark, tmp_path / "normalized", "yellow", when, [(1, T0)], "vendorid bigint, tpep_pickup_datetime timestamp_ntz")
+    real = ParquetSink.append_all
+
+    def failing(self, data_type, year, months):
+        if year == 2023:
+            spark.sql("SELECT no_such_column")
+        real(self, data_type, year, months)
+
+    monkeypatch.setattr(ParquetSink, "append_all", failing)
+    assert main(["load", "yellow", "--data-dir", str(tmp_path)], spark) == 1
+    assert ParquetSink(spark, str(tmp_path / "warehouse")).counts("yellow") == {2024: 1}
+
+
+def test_months_of_paths():
+    from driftwright.sources.files import month_of
+
+    assert month_of("/x/year=2023/month=2/part-00001-7500-11aa.parquet") == (2023, 2) and month_of("/x/yellow_tripdata_2023-11.parquet") == (2023, 11)
+    assert [month_of(p) for p in ("/x/part-00000-7575-4a.parquet", "/x/a_2023-13.parquet", "/x/year=2023/month=14/a.parquet", "/x/2023-1.parquet")] == [None] * 4
