@@ -96,4 +96,18 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
 """
 
-ORACLES: dict[str, str] = {"op4_exact_top_k": OP4_SQL, "op8_decontamination": OP8_SQL}
+#: Links by shared shingles of full sets, components by reachability.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+u AS (SELECT doc_id, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.c >= 85 * (na.n + nb.n - p.c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+k AS (SELECT id, min(root) AS root FROM r GROUP BY id)
+SELECT n.doc_id, n.n AS n_shingles, k.root AS component_id, n.doc_id = k.root AS kept FROM n JOIN k ON k.id = n.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_exact_top_k": OP4_SQL, "op5_near_duplicates": OP5_SQL, "op8_decontamination": OP8_SQL}
