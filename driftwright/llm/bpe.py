@@ -29,7 +29,7 @@ from .words import text_slices
 MEMO_SIZE = 200_000
 
 #: White space as the vocabulary's own library reads it: the Unicode property, written out.
-WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
+WHITE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_characters() -> list[str]:

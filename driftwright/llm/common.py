@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 import zipfile
@@ -64,10 +65,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one where it is unset and all is one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _folders:
         _folders[app] = "file://" + tempfile.mkdtemp(prefix="driftwright-")
