@@ -6,6 +6,7 @@ driver's tables through the same functions that the command line uses.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -109,6 +110,8 @@ def weighted_operations(spark, sf_dir):
 def _scratch(spark: SparkSession) -> str:
     """A new folder that all executors share: under ``spark.checkpoint.dir``, a temporary one where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{(root or 'file://' + tempfile.mkdtemp(prefix='driftwright-')).rstrip('/')}/load-{uuid.uuid4().hex}"
 
 
