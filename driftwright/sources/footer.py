@@ -80,23 +80,33 @@ def _name(field) -> str:
 
 def footer_rows(path: str) -> Iterator[tuple]:
     """One tuple per leaf column, its row groups folded together; bounds of a kind of value each."""
+    import pyarrow.types as at
+
     file = _open(path)
     meta, arrow = file.metadata, file.schema_arrow
     roots = {name: k for k, name in enumerate(arrow.names)}
     for leaf in range(meta.num_columns):
         root = meta.schema.column(leaf).path.split(".")[0]
         low = high = None
-        values = nulls = 0
+        values = nulls = silent = 0
         for group in range(meta.num_row_groups):
             chunk = meta.row_group(group).column(leaf)
             values += chunk.num_values
             stats = chunk.statistics
             if stats is None:
+                silent += chunk.num_values > 0
                 continue
             nulls += stats.null_count or 0
-            if stats.has_min_max:
+            if not stats.has_min_max:
+                silent += chunk.num_values > (stats.null_count or 0)
+            else:
                 low = stats.min if low is None else min(low, stats.min)
                 high = stats.max if high is None else max(high, stats.max)
+        if silent and isinstance(low, int) and at.is_integer(arrow.field(roots[root]).type):
+            # a row group with values does not say which: any of the column's type
+            kind = arrow.field(roots[root]).type
+            signed = at.is_signed_integer(kind)
+            low, high = (1 - (1 << kind.bit_width - 1) if signed else 0), min(1 << kind.bit_width - signed, 1 << 63) - 1
 
         def as_kind(value, kinds, turn):
             return turn(value) if isinstance(value, kinds) and not isinstance(value, bool) else None

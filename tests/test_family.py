@@ -211,3 +211,22 @@ def test_months_of_paths():
 
     assert month_of("/x/year=2023/month=2/part-00001-7500-11aa.parquet") == (2023, 2) and month_of("/x/yellow_tripdata_2023-11.parquet") == (2023, 11)
     assert [month_of(p) for p in ("/x/part-00000-7575-4a.parquet", "/x/a_2023-13.parquet", "/x/year=2023/month=14/a.parquet", "/x/2023-1.parquet")] == [None] * 4
+
+
+def test_a_row_group_without_statistics_bounds_nothing(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from driftwright.sources import footer
+
+    chunk = lambda n, low=None, high=None: SimpleNamespace(num_values=n, statistics=None if low is None else SimpleNamespace(null_count=0, has_min_max=True, min=low, max=high))
+
+    def file(*chunks):
+        group = lambda k: SimpleNamespace(column=lambda _: chunks[k])
+        meta = SimpleNamespace(num_columns=1, num_rows=9, num_row_groups=len(chunks), schema=SimpleNamespace(column=lambda _: SimpleNamespace(path="a")), row_group=group)
+        return SimpleNamespace(metadata=meta, schema_arrow=pa.schema([("a", pa.int64())]))
+
+    bounds = lambda *chunks: (monkeypatch.setattr(footer, "_open", lambda _: file(*chunks)), next(footer.footer_rows("x"))[7:9])[1]
+    assert bounds(chunk(3, 1, 5), chunk(2, 0, 9)) == (0, 9)
+    assert bounds(chunk(3, 1, 5), chunk(2)) == (1 - 2**63, 2**63 - 1) and bounds(chunk(3, 1, 5), chunk(0)) == (1, 5) and bounds(chunk(3)) == (None, None)
