@@ -2,17 +2,19 @@
 
 Test items are short and documents long, so their Jaccard similarity is small even where the item is copied whole;
 what counts is containment: the share of an item's word shingles that the document has. Items are partitioned by
-the size of their shingle set. For an item of n shingles the sketch holds its k least hashes, k being one more
-than the number of shingles that a contained item may lack (SKETCH_MOST at most). A document that contains the item
-must hold one of them: for sure where k reached that number, else but for a chance of (1 - threshold)^k, under
-1e-11. Documents that hold a sketched shingle of an item are candidates; all shingles of the item then decide.
+the size of their shingle set, in powers of two. The sketch of an item holds its k least hashes, k being one more than
+the largest item of its partition may lack. A document that contains an item of n shingles lacks n - need of them at
+most, so it holds at least k - (n - need) of the sketch: one or more, and the more the smaller the item is within its
+partition. Documents with so many sketch hits are candidates (none that contains the item is missed), and all
+shingles of the item then decide.
 
 Words are runs of letters and digits, lower-cased; shingles are SHINGLE words, hashed to 64 bits. Neither documents
 nor their shingles are shuffled while the sketches are within BROADCAST_ROWS, which is counted first; beyond,
 the same joins go by shuffle. Matches are counted per (document, item), so no passage, source or item is hot.
 
 Defined results: items of fewer than SHINGLE words (empty or null ones too) match nothing; null or empty documents
-match nothing; a pair is given once however often the passage, the document row or the item row is repeated;
+match nothing; a pair is given once however often the passage, the document row or the item row is repeated, rows of
+one item id making one item; texts of any length are read whole; columns of the input may have any names;
 rows without an id match nothing; empty tables give an empty table.
 """
 
@@ -26,8 +28,6 @@ from .common import clean, stash
 SHINGLE = 5
 #: Share of an item's shingles that a document must hold.
 THRESHOLD = 0.8
-#: Shingles of an item's sketch at most.
-SKETCH_MOST = 16
 #: Rows that may be broadcast (16 bytes each, some 64 MB); larger sides are shuffled.
 BROADCAST_ROWS = 2_000_000
 
@@ -47,33 +47,33 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def index_items(items: DataFrame, item_id: str, text_col: str, threshold: float, size: int) -> DataFrame:
-    """One row per item: its shingle set, its size, the least number to share, and its sketch."""
-    sets = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), F.array_sort(F.array_distinct(shingles(clean(text_col), size))).alias("all"))
-    sets = sets.where(F.size("all") > 0).withColumn("n", F.size("all"))
-    need = F.ceil(F.col("n") * threshold - 1e-9).cast("int")
-    sets = sets.withColumn("need", need)
-    # partition by size: the power of two above n; its sketch length covers the largest item of the partition
+    """One row per item: its shingle set, its size, the least number to share, its sketch and the hits it must get."""
+    grams = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), F.explode(shingles(clean(text_col), size)).alias("h")).distinct()
+    sets = grams.groupBy("item").agg(F.array_sort(F.collect_list("h")).alias("all")).withColumn("n", F.size("all"))
+    sets = sets.withColumn("need", F.ceil(F.col("n") * threshold - 1e-9).cast("int"))
+    # the partition is named by the power of two that no size in it exceeds
     upper = F.pow(F.lit(2), F.ceil(F.log2(F.col("n")))).cast("int")
-    length = F.least(F.floor(upper * (1 - threshold) + 1e-9).cast("int") + 1, F.lit(SKETCH_MOST), F.col("n"))
-    return sets.withColumn("partition", upper).withColumn("sketch", F.slice("all", F.lit(1), length))
+    length = F.least(F.floor(upper * (1 - threshold) + 1e-9).cast("int") + 1, F.col("n"))
+    sets = sets.withColumn("sketch", F.slice("all", F.lit(1), length))
+    return sets.withColumn("least_hits", F.greatest(F.lit(1), F.size("sketch") - (F.col("n") - F.col("need"))))
 
 
 def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", item_text: str = "text", threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """Pairs ``doc_id, item_id, shared, n_shingles, containment`` with containment of at least ``threshold``."""
     index = stash(index_items(items, item_id, item_text, threshold, size))
-    sketch = index.select("item", F.explode("sketch").alias("h"))
+    sketch = index.select("item", "least_hits", F.explode("sketch").alias("h"))
     full = index.select("item", F.explode("all").alias("h"))
     n_sketch, n_full = index.select(F.sum(F.size("sketch")), F.sum("n")).first()
     known = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), F.col(text_col).alias("text"))
-    # every document: which items have a sketched shingle here
+    # every document: which items have enough of their sketch here (repeated shingles only add hits)
     seen = known.select("doc", F.explode(shingles(clean("text"), size)).alias("h")).join(small(sketch, n_sketch or 0), "h")
-    candidates = stash(seen.groupBy("doc", "item").agg(F.count("*").alias("hits")))
+    candidates = stash(seen.groupBy("doc", "item", "least_hits").agg(F.count("*").alias("hits")).where("hits >= least_hits").select("doc", "item"))
     # candidate documents only: all shingles of the items decide
     wanted = candidates.select("doc").distinct()
     some = known.join(small(wanted, wanted.count()), "doc", "left_semi")
     shared = some.select("doc", F.explode(shingles(clean("text"), size)).alias("h")).join(small(full, n_full or 0), "h")
     counts = shared.groupBy("doc", "item", "h").agg(F.lit(1).alias("one")).groupBy("doc", "item").agg(F.count("*").alias("shared"))
-    counts = counts.join(candidates.select("doc", "item"), ["doc", "item"], "left_semi")
+    counts = counts.join(candidates, ["doc", "item"], "left_semi")
     judged = counts.join(small(index.select("item", "n", "need"), n_sketch or 0), "item").where("shared >= need")
     return judged.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "shared", F.col("n").cast("long").alias("n_shingles"), (F.col("shared") / F.col("n")).alias("containment"))
 
