@@ -5,14 +5,16 @@ least the sum over segments of ``m * ((mean - mean)^2 + (dev - dev)^2)``, so the
 of ``m * (mean * mean + dev * dev)``. Bounds are taken coarse to fine; a candidate whose bound is under the query's
 k-th score so far needs no more work, and exact scores are computed for the survivors only.
 
-Queries are taken in blocks of QUERY_BLOCK vectors (some megabytes), each against all rows: the rows stream by
-once per block, and no pair is made but in the arrays of a task. A block's first scores against a few
-candidates set a floor, so that tasks send only what may still be among the best.
+Queries are taken in blocks of about BLOCK_BYTES, each against all rows: the rows stream by once per block, and no pair
+is made but in the arrays of a task. A block's first scores against a few candidates set a floor, so that tasks send
+only what may still be among the best. A block's result is written, and its broadcast given up, before the next block
+begins, so the driver and the executors hold one block however many there are.
 
 Defined results: components become floor(scale * x) of the double x; vectors that are null, empty, or hold a null
-or a non-finite component take no part, nor do rows with a null id; a query meets only vectors of its own length; an
-id that comes twice counts once, with the least of its vectors; ties go to the smaller id; fewer than k
-candidates are all returned. Scores are exact below 2^63.
+or a non-finite component take no part, nor do rows with a null id; a query meets only vectors of its own length; every row
+but those of the query's own id is a candidate, so a repeated row is found as often as it comes, and the rows of a
+repeated query id share one list of k; ties go to the smaller id; fewer than k candidates are all returned; columns of
+the input may have any names. Scores are exact below 2^63.
 """
 
 from __future__ import annotations
@@ -24,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, slices
+from .common import ship, slices, stash
 
-QUERY_BLOCK = 16_384
+#: Bytes of the vectors of a block of queries, as doubles.
+BLOCK_BYTES = 8 << 20
 SEED_ROWS = 2_048
 #: Segments per level, coarse to fine.
 LEVELS = (4, 16)
@@ -103,14 +106,13 @@ def search(df: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id
     spark = df.sparkSession
     ship(spark)
     rows = df.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("asks"))
-    if not rows.groupBy("id").count().where("count > 1").isEmpty():
-        rows = rows.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks"))
     asked = rows.where("asks").select("id", "v")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    n, longest = asked.select(F.count("*"), F.max(F.size("v"))).first()
+    blocks = max(1, -(-n * (longest or 0) * 8 // BLOCK_BYTES))
     seeds = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SEED_ROWS).collect()
     found: DataFrame | None = None
     for at in range(blocks):
-        own = asked.where(F.pmod(F.hash("id"), F.lit(blocks)) == at).collect()  # about QUERY_BLOCK vectors
+        own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == at).collect()  # about BLOCK_BYTES
         made: dict[int, Block] = {}
         for length in sorted({len(r["v"]) for r in own}):
             of = [r for r in own if len(r["v"]) == length]
@@ -122,14 +124,13 @@ def search(df: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id
                     q, c, s = block.search(ids[low : low + 256], whole([r["v"] for r in near[low : low + 256]], scale))
                     held = (q, ids[low + c], s) if not low else tuple(np.concatenate(x) for x in zip(held, (q, ids[low + c], s), strict=True))
                     held = block.best(*held)
-        part = _against(rows.select("id", "v"), made, scale)
+        part = _against(rows.select("id", "v"), made, scale, k)
         found = part if found is None else found.unionByName(part)
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-    return best.select("query_id", "rank", "vec_id", "score")
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
-def _against(rows: DataFrame, made: dict[int, Block], scale: float) -> DataFrame:
+def _against(rows: DataFrame, made: dict[int, Block], scale: float, k: int) -> DataFrame:
+    """The k best rows of a block's queries, written; an id falls into one block only."""
     shared = rows.sparkSession.sparkContext.broadcast(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,4 +155,8 @@ def _against(rows: DataFrame, made: dict[int, Block], scale: float) -> DataFrame
                 cut = slice(low, low + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(blocks[n].ids[q[cut]]), pa.array(ids[cut]), pa.array(scores[cut])], names=["query_id", "vec_id", "score"])
 
-    return rows.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    found = rows.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = stash(found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k))
+    shared.unpersist()
+    return best

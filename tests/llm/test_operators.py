@@ -185,7 +185,9 @@ def test_components(spark):
 # -- 8
 
 
-def test_decontamination_against_brute_force(spark):
+@pytest.mark.parametrize("broadcast", [decontaminate.BROADCAST_ROWS, 0])
+def test_decontamination_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
     rng, words = random.Random(2), vocabulary(9, 300)
     items = [prose(rng, n, words) for n in (14, 20, 33, 59, 5, 4, 300)] + [None, ""]
     texts = [prose(rng, 800, words) for _ in range(20)] + [None, "", "short text"]
@@ -199,9 +201,11 @@ def test_decontamination_against_brute_force(spark):
         w = [x for x in re.split(r"[^\w]+", (t or "").lower().replace("_", " ")) if x]
         return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
+    texts[12] = texts[12] + " " + " ".join(items[6].split()[:250]) + " " + texts[13] * 60  # part of an item, and a long text
     expected = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if grams(x) and len(grams(t) & grams(x)) >= 0.8 * len(grams(x)) - 1e-9}
-    bench = spark.createDataFrame(list(enumerate(items)) + [(None, items[0])], "item_id bigint, text string")
-    df = docs(spark, texts)
+    assert (12, 6) in expected
+    bench = spark.createDataFrame([*enumerate(items), (None, items[0]), (3, items[3]), (0, items[0])], "item_id bigint, text string")
+    df = docs(spark, texts).withColumns({"h": F.lit("x"), "item": F.lit("y"), "doc": F.lit(0), "all": F.lit(None)})
     found = decontaminate.contained(df.union(df), bench).collect()
     assert len(found) == len(expected) and {(r.doc_id, r.item_id) for r in found} == expected and expected
     clean = decontaminate.remove(df, bench)
@@ -256,22 +260,23 @@ def test_ownership_counts(spark):
 # -- 4
 
 
-def test_top_k_against_brute_force(spark):
+def test_top_k_against_brute_force(spark, monkeypatch):
     rng = np.random.RandomState(4)
     rows = [(k, (rng.randn(16) * (1 + k % 3)).tolist()) for k in range(300)] + [(300, None), (301, []), (302, [float("nan")] * 16), (303, [None] * 16), (None, [1.0] * 16), (304, [1.0, 2.0]), (306, [0.5, 0.25]), (5, rng.randn(16).tolist())]
     rows += [(k, rows[40][1]) for k in range(400, 440)]  # ties
+    rows += [(20, rows[21][1]), (41, rows[41][1])]  # a query and a candidate that come twice
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    best = {}
-    for k, v in rows:
-        if k is not None and v and all(x is not None and np.isfinite(x) for x in v) and (k not in best or v < best[k]):
-            best[k] = v
-    ints = {k: np.floor(64 * np.array(v)).astype(np.int64) for k, v in best.items()}
-    expected = set()
-    for q in (k for k in ints if k % 20 == 0 or k == 304):
-        ranked = sorted((-int(ints[q] @ ints[c]), c) for c in ints if c != q and len(ints[c]) == len(ints[q]))[:20]
-        expected |= {(q, r + 1, c, -s) for r, (s, c) in enumerate(ranked)}
+    ints = [(k, np.floor(64 * np.array(v)).astype(np.int64)) for k, v in rows if k is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    expected = []
+    for q in sorted({k for k, _ in ints if k % 20 == 0 or k == 304}):
+        ranked = sorted((-int(v @ w), c) for k, v in ints if k == q for c, w in ints if c != q and len(w) == len(v))[:20]
+        expected += [(q, r + 1, c, -s) for r, (s, c) in enumerate(ranked)]
     found = topk.search(df, (F.col("vec_id") % 20 == 0) | (F.col("vec_id") == 304))
-    assert {tuple(r) for r in found.collect()} == expected
+    assert sorted(tuple(r) for r in found.collect()) == expected
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 500)  # several blocks
+    clash = df.withColumns({"id": F.lit("x"), "v": F.lit(1), "asks": F.lit(None), "score": F.lit(0)})
+    found = topk.search(clash, (F.col("vec_id") % 20 == 0) | (F.col("vec_id") == 304))
+    assert sorted(tuple(r) for r in found.collect()) == expected
     assert topk.search(df.limit(0), F.lit(True)).count() == 0
 
 
