@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from .common import claim, ship
+from .common import claim, ship, trimmed
 from .words import text_slices
 
 #: Distinct pre-tokens that a worker remembers.
-MEMO_SIZE = 200_000
+MEMO_SIZE = 50_000
 
 #: White space as the vocabulary's own library reads it: the Unicode property, written out.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -146,4 +146,4 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, text_col: str =
                 names=[*names, *OUTPUTS],
             )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)

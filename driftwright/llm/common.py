@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 512
 
 #: Bytes of an Arrow batch between the JVM and a Python worker, where the session leaves the default.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 _folders: dict[str, str] = {}
@@ -37,10 +37,27 @@ def claim(name: str, give_up: Callable[[], None] = lambda: None) -> None:
     if others:
         for forget in others:
             forget()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-            libc.malloc_trim(0)
+        trim()
+
+
+def trim() -> None:
+    """Memory that is free in this process goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, after which the worker, idle or kept for another stage, holds no free memory."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return work
 
 
 def ship(spark: SparkSession) -> None:

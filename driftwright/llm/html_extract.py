@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, slices, stash
+from .common import ship, slices, stash, trimmed
 
 LEAST_PAGES = 3
 MAIN_SHARE = 0.5
@@ -217,7 +217,7 @@ def tokens_of(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("host"), part.column("page"), pa.array(rows, arrow)], names=["host", "page", "tokens"])
 
     named = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), "html").where(F.col("html").isNotNull())
-    return named.mapInArrow(run, f"host string, page bigint, tokens {kind}")
+    return named.mapInArrow(trimmed(run), f"host string, page bigint, tokens {kind}")
 
 
 def deduce(pages: DataFrame) -> DataFrame:
@@ -263,4 +263,4 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> Dat
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "text", "n_chars"])
 
     schema = T.StructType([*kept, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import claim, ship
+from .common import claim, ship, trimmed
 from .words import text_slices
 
 _WHOLE, _RUNS = re.compile(r"\b[^\W\d_]+\b").findall, re.compile(r"[^\W\d_]+").findall
@@ -292,7 +292,7 @@ def identify(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame
                 names=[*names, *OUTPUTS],
             )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 def accepted(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, drop_stash, ship, slices, stash
+from .common import claim, drop_stash, ship, slices, stash, trimmed
 from .components import components
 from .words import _M1, _M2, hash_words, mixed, text_slices
 
@@ -128,7 +128,7 @@ def sign(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> D
             )
 
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, n bigint, h1 bigint, h2 bigint, s1 bigint, s2 bigint, keys array<bigint>")
+    return rows.mapInArrow(trimmed(run), "id bigint, n bigint, h1 bigint, h2 bigint, s1 bigint, s2 bigint, keys array<bigint>")
 
 
 def full_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -143,7 +143,7 @@ def full_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shin
     n = wanted.count()
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     some = rows.join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, "id", "left_semi")
-    return some.mapInArrow(run, "id bigint, hashes array<bigint>").dropDuplicates(["id"])
+    return some.mapInArrow(trimmed(run), "id bigint, hashes array<bigint>").dropDuplicates(["id"])
 
 
 def differing(x: Column, y: Column) -> Column:
@@ -181,7 +181,7 @@ def long_signatures(sets: DataFrame) -> DataFrame:
                 rows.append((bits.reshape(-1, 20) << shifts).sum(1, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(rows, pa.list_(pa.int64()))], names=["id", "long"])
 
-    return sets.mapInArrow(run, "id bigint, long array<bigint>")
+    return sets.mapInArrow(trimmed(run), "id bigint, long array<bigint>")
 
 
 def long_radius(percent: int) -> int:

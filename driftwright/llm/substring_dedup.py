@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import claim, drop_stash, ship, slices, stash
+from .common import claim, drop_stash, ship, slices, stash, trimmed
 from .components import components
 from .near_dup import _ADD, _ODD, BROADCAST_ROWS, rolling
 from .words import _M1, Words, hash_words, mixed, text_slices
@@ -134,7 +134,7 @@ def paragraphs(texts: DataFrame) -> DataFrame:
             hashes = [pa.array(x.view(np.int64)) for x in (p.contents(), *keys)]
             yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(p.text)), *hashes, pa.array(p.at.astype(np.int32)), pa.array(p.words.astype(np.int32))], names=["id", "content", "key0", "key1", "at", "words"])
 
-    return texts.mapInArrow(run, "id bigint, content bigint, key0 bigint, key1 bigint, at int, words int")
+    return texts.mapInArrow(trimmed(run), "id bigint, content bigint, key0 bigint, key1 bigint, at int, words int")
 
 
 def with_texts(texts: DataFrame, asked: DataFrame, size: str) -> DataFrame:
@@ -160,7 +160,7 @@ def shown_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(contents[kept].view(np.int64)), pa.ListArray.from_arrays(ends.astype(np.int32), p.shingles[inside].view(np.int64))], names=["id", "hashes"])
 
     by_text = stash(wanted.groupBy(F.col("low").alias("id")).agg(F.collect_set("content").alias("contents")))
-    made = with_texts(texts, by_text, "contents").mapInArrow(run, "id bigint, hashes array<bigint>")
+    made = with_texts(texts, by_text, "contents").mapInArrow(trimmed(run), "id bigint, hashes array<bigint>")
     return made.select("id", F.array_distinct("hashes").alias("hashes"))
 
 
@@ -247,7 +247,7 @@ def windows(texts: DataFrame, asked: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["id", "place", "right", "here", "near", "edge"])
 
     by_text = stash(asked.groupBy("id").agg(F.collect_set(F.col("place") * 2 + F.col("right").cast("int")).alias("places")))
-    made = stash(with_texts(texts, by_text, "places").mapInArrow(run, "id bigint, place bigint, right boolean, here bigint, near array<int>, edge array<int>"))
+    made = stash(with_texts(texts, by_text, "places").mapInArrow(trimmed(run), "id bigint, place bigint, right boolean, here bigint, near array<int>, edge array<int>"))
     # rows that share an id answer more than once
     return made if made.count() == by_text.select(F.sum(F.size("places"))).first()[0] else made.dropDuplicates(["id", "place", "right"])
 
@@ -322,7 +322,7 @@ def extended(texts: DataFrame, runs: DataFrame, kept: DataFrame) -> DataFrame:
             edge = np.where(more > 0, flat[np.minimum(first + np.maximum(more - 1, 0), len(flat) - 1)], part.column("here").to_numpy())
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "run", "right")), pa.array(more, pa.int64()), pa.array(edge, pa.int64())], names=["id", "run", "right", "more", "edge"])
 
-    both = both.select("id", "run", "right", "here", "near", "kept_near", "edge").mapInArrow(run, "id bigint, run bigint, right boolean, more bigint, edge bigint")
+    both = both.select("id", "run", "right", "here", "near", "kept_near", "edge").mapInArrow(trimmed(run), "id bigint, run bigint, right boolean, more bigint, edge bigint")
     moved = both.groupBy("id", "run").agg(*(F.max(F.when(F.col("right") == r, F.col(c))).alias(f"{c}_{name}") for r, name in ((False, "left"), (True, "right")) for c in ("more", "edge")))
     out = runs.join(moved, ["id", "run"])
     return out.select("id", "run", (F.col("at") - F.col("more_left")).alias("at"), (F.col("until") + F.col("more_right")).alias("until"), F.col("edge_left").alias("start"), F.col("edge_right").alias("stop"), "kept_in", "clusters", F.struct("at", "until", (F.col("until") - F.col("at")).alias("n")).alias("core"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, slices, stash
+from .common import ship, slices, stash, trimmed
 
 #: Bytes of the vectors of a block of queries, as doubles.
 BLOCK_BYTES = 8 << 20
@@ -155,7 +155,7 @@ def _against(rows: DataFrame, made: dict[int, Block], scale: float, k: int) -> D
                 cut = slice(low, low + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(blocks[n].ids[q[cut]]), pa.array(ids[cut]), pa.array(scores[cut])], names=["query_id", "vec_id", "score"])
 
-    found = rows.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    found = rows.mapInArrow(trimmed(run), "query_id bigint, vec_id bigint, score bigint")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = stash(found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k))
     shared.unpersist()

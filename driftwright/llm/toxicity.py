@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import claim, ship
+from .common import claim, ship, trimmed
 from .words import text_slices
 
 TOXIC_DOCS, CLEAN_DOCS = 1_500, 4_500
@@ -293,4 +293,4 @@ def score(df: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
                 [part.column(n) for n in names] + [pa.array([float(s) for s, _ in made], pa.float64()), pa.array([n for _, n in made], pa.int64())], names=[*names, *OUTPUTS]
             )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
