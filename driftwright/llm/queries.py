@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, langid, license_scan, near_dup, secret_scan, substring_dedup, topk, toxicity
-from .common import crc_remainder, table
+from . import bpe, decontaminate, html_extract, langid, license_scan, near_dup, repair, secret_scan, simhash, spelling, substring_dedup, topk, toxicity
+from .common import crc_remainder, stash, table
 
 #: The vocabulary whose ranks op3 uses; any file of base64 tokens and ranks will do.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -75,7 +75,26 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "clauses")
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_license_scan": op2_license_scan, "op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op4_exact_top_k": op4_exact_top_k, "op5_near_duplicates": op5_near_duplicates, "op6_html_extraction": op6_html_extraction, "op7_toxicity": op7_toxicity, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract columns, and for documents whose id is divisible by 100 how many others are within the radius."""
+    found = stash(simhash.sketch(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    asked = F.col("id") % 100 == 0
+    near = simhash.within(found, asked)
+    joined = found.join(near, F.when(asked, found["fingerprint"]) == near["fingerprint"], "left")
+    return joined.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", found["fingerprint"], "edited_fingerprint", "near_edited", "near_next", "n_within")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    written = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    return repair.with_unrepaired(repair.repair(repair.damage(rows, F.crc32(written.cast("binary")) % 20)), rows)
+
+
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_license_scan": op2_license_scan, "op3_byte_bpe": op3_byte_bpe, "op10_language_id": op10_language_id, "op4_exact_top_k": op4_exact_top_k, "op5_near_duplicates": op5_near_duplicates, "op6_html_extraction": op6_html_extraction, "op7_toxicity": op7_toxicity, "op8_decontamination": op8_decontamination, "op9_secret_scan": op9_secret_scan, "op11_spelling_variants": op11_spelling_variants, "op12_simhash": op12_simhash, "op13_conversation_repair": op13_conversation_repair}
 
 #: Words, shingles and containment as SQL says them; ids of pairs with their counts.
 OP8_SQL = r"""

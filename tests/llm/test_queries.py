@@ -13,7 +13,7 @@ COLUMNS = {
     "op1_substring_dedup": ["doc_id", "start", "stop", "n_words", "kept_in"], "op2_license_scan": ["doc_id", "licenses"], "op3_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op4_exact_top_k": ["query_id", "rank", "vec_id", "score"], "op5_near_duplicates": ["doc_id", "n_shingles", "component_id", "kept"], "op6_html_extraction": ["page_id", "url", "text", "n_chars"],
     "op7_toxicity": ["doc_id", "held_out", "score", "predicted"], "op8_decontamination": ["doc_id", "item_id"], "op9_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
-    "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"], "op12_simhash": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
 }
 
 
