@@ -39,10 +39,15 @@ SPARSE = 0.02
 
 def whole(vectors: list, scale: float) -> np.ndarray:
     """floor(scale * x) as float64 where that is exact for every inner product, else as int64."""
-    out = np.floor(np.asarray(vectors, np.float64) * scale)
+    out = np.floor(np.asarray(vectors, np.float64) * scale)  # blocks of either kind may meet: see alike
     return out if not out.size or float(np.abs(out).max()) ** 2 * out.shape[1] < 2**52 else out.astype(np.int64)
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as integers, unless both are small enough for exact products as floating-point numbers."""
+    return (a, b) if a.dtype == b.dtype else (a.astype(np.int64), b.astype(np.int64))
+
+
 def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     """Weighted means and deviations of the segments, side by side; a dot product of two rows is the bound."""
     parts = np.array_split(np.asarray(vectors, np.float64), min(segments, vectors.shape[1]), axis=1)
@@ -75,9 +80,11 @@ class Block:
                 return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.int64),)
         if open_.mean() <= SPARSE:
             q, c = np.nonzero(open_)
-            scores = (self.vectors[asked[q]] * vectors[kept[c]]).sum(1)
+            mine, theirs = alike(self.vectors[asked[q]], vectors[kept[c]])
+            scores = (mine * theirs).sum(1)
         else:
-            exact = self.vectors[asked] @ vectors[kept].T
+            mine, theirs = alike(self.vectors[asked], vectors[kept].T)
+            exact = mine @ theirs
             q, c = np.nonzero(open_ & (exact >= self.floor[asked][:, None]))
             scores = exact[q, c]
         q, c = asked[q], kept[c]
@@ -91,7 +98,8 @@ class Block:
         starts = np.searchsorted(q, q, side="left")
         rank = np.arange(len(q)) - starts
         last = rank == self.k - 1
-        self.floor[q[last]] = np.maximum(self.floor[q[last]], scores[last])
+        # the floor is a floating-point number: the next lower one never exceeds the score
+        self.floor[q[last]] = np.maximum(self.floor[q[last]], np.nextafter(scores[last].astype(np.float64), -np.inf))
         keep = rank < self.k
         return q[keep], ids[keep], scores[keep]
 
