@@ -17,7 +17,8 @@ components is lost (but for four deviations of the estimate), and few other pair
 
 Defined results: words are split at ASCII white space, A-Z lower-cased. Texts of fewer words than a shingle are one shingle;
 null, empty and blank texts have none and are linked with nothing. A null id takes no part (component null, kept).
-Repeated rows belong together. Rows that share an id count as one node. An empty table gives an empty table.
+Repeated rows belong together. In ``link`` rows that share an id count as one node; ``keep_one`` tells them apart by their
+texts. An empty table gives an empty table. Columns of the input may have any names but those that begin with ``driftwright_``.
 """
 
 from __future__ import annotations
@@ -287,13 +288,25 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle:
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each group: that of the smallest id. Rows with a null id stay."""
-    result = stash(link(df, id_col, text_col, shingle, percent))
-    gone = result.where("not kept").select(id_col).distinct()
-    n = gone.count()
-    left = df.join(F.broadcast(gone) if n <= BROADCAST_ROWS else gone, id_col, "left_anti").select(*(f"`{c}`" for c in df.columns))
-    twice = result.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
-    if twice.isEmpty():
-        return left
-    known = left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return known.unionByName(left.where(F.col(id_col).isNull()))
+    """One document of each group: that of the smallest id. Rows with a null id stay.
+
+    Rows that share an id are documents of their own unless their texts are equal too: they get ids of (id, text), below
+    all others, so that of a group one of them stays.
+    """
+    own, row = df.columns, "driftwright_row"
+    counts = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("driftwright_id")).count().where("count > 1").select("driftwright_id")
+    twice = stash(counts)
+    shared = twice.count()
+    rows = df.withColumn(row, F.col(id_col).cast("bigint"))
+    if shared:
+        side = F.broadcast(twice) if shared <= BROADCAST_ROWS else twice
+        surrogate = F.least(F.xxhash64(id_col, text_col), F.bitwise_not(F.xxhash64(id_col, text_col)))
+        rows = df.join(side, F.col(id_col) == F.col("driftwright_id"), "left").withColumn(row, F.when(F.col("driftwright_id").isNull(), F.col(id_col).cast("bigint")).otherwise(surrogate))
+    result = stash(link(rows, row, text_col, shingle, percent))
+    gone = result.where("not kept").select(row).distinct()
+    left = rows.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, row, "left_anti")
+    if not shared:
+        return left.select(*(f"`{c}`" for c in own))
+    alone = left.where(F.col("driftwright_id").isNull())
+    once = left.where(F.col("driftwright_id").isNotNull()).dropDuplicates([row])
+    return alone.unionByName(once).select(*(f"`{c}`" for c in own))
