@@ -7,7 +7,8 @@ is an ``example`` that was copied around; one of a single owner is ``live``; the
 becomes a span only where it is live.
 
 Values are aggregated per (hash, owner) before they meet by hash, so a value that fills a third of the corpus
-adds one row per owner and task; the join back to the spans has one row per hash on its small side.
+adds one row per owner and task; the join back to the spans has one row per hash on its small side, and the skew join
+can split its large one.
 
 Defined results: a null or empty text has no spans; a null owner counts as one owner of its own, a null
 repository as none; repeated rows each get their spans and count as one repository; empty tables give empty
@@ -55,16 +56,8 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     both = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), matches.alias("match"), values.alias("value"))
     sized = F.transform(both, lambda x: F.struct((F.length(x["piece"]) + F.coalesce(F.length(x["match"]), F.lit(0))).cast("bigint").alias("both"), F.length(x["match"]).alias("own"), x["value"].alias("value")))
 
-    def total(parts: Column, first: Column | int, n: Column | int) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(first) if isinstance(first, int) else first, F.lit(n) if isinstance(n, int) else n), F.lit(0).cast("bigint"), lambda t, y: t + y)
-
     def ends(lengths: Column) -> Column:
-        """Running sums: those of whole blocks first, then within the block, so many matches cost no square."""
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")), lambda b: total(lengths, b * BLOCK + 1, BLOCK))
-        before = lambda sums: F.transform(sums, lambda _, b: total(sums, 1, b))
-        block = lambda i: F.floor(i / BLOCK).cast("int")
-        made = lambda starts: F.transform(lengths, lambda _, i: starts[block(i)] + total(lengths, block(i) * BLOCK + 1, i - block(i) * BLOCK + 1))
-        return bound(blocks, lambda sums: bound(before(sums), made))
+        return running(lengths, lambda t, y: t + y, F.lit(0).cast("bigint"))
 
     def span(x: Column, end: Column) -> Column:
         return F.struct(
@@ -101,6 +94,14 @@ def ownership(found: DataFrame, owner: str, repo: str) -> DataFrame:
     return counted.select("value_hash", "n_owners", "n_repos", verdict.alias("verdict"))
 
 
+def met(each: DataFrame, judged: DataFrame) -> DataFrame:
+    """Spans with what is known of their value. Joined by another expression of the hash than the aggregate's: both sides
+    then come from an exchange of their own, so a value that fills much of the corpus is split into tasks (skew join)."""
+    whole = F.substring("value_hash", 1, 64)
+    right = judged.withColumn("meet", whole).drop("value_hash")
+    return each.withColumn("meet", whole).join(right, "meet").drop("meet")
+
+
 def scan(df: DataFrame, keys: list[str], owner: str = "source", repo: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: its ``keys`` and ``spans``, an array of spans with owners, repositories and verdict.
 
@@ -112,7 +113,7 @@ def scan(df: DataFrame, keys: list[str], owner: str = "source", repo: str = "doc
     found = stash(candidates(rows, own[text_col]).select(*wanted, F.monotonically_increasing_id().alias("row"), "base", "generic"))
     judged = ownership(found, own[owner], own[repo])
     each = found.select("row", F.explode(F.concat("base", "generic")).alias("s")).withColumn("value_hash", F.col("s.value_hash"))
-    each = each.join(judged, "value_hash").where((F.col("s.kind") != "generic") | (F.col("verdict") == "live"))
+    each = met(each, judged).where((F.col("s.kind") != "generic") | (F.col("verdict") == "live"))
     span = F.struct("s.start", "s.rank", "s.end", "s.kind", "value_hash", "n_owners", "n_repos", "verdict")
     spans = each.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     empty = F.array().cast(spans.schema["spans"].dataType)
@@ -124,17 +125,40 @@ def written(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def running(values: Column, combine: Callable[[Column, Column], Column], start: Column) -> Column:
+    """Each element combined with all before it: whole blocks first, then within the block, so that many cost no square."""
+
+    def total(parts: Column, first: Column | int, n: Column | int) -> Column:
+        return F.aggregate(F.slice(parts, F.lit(first) if isinstance(first, int) else first, F.lit(n) if isinstance(n, int) else n), start, combine)
+
+    def over(own: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / BLOCK).cast("int")), lambda b: total(own, b * BLOCK + 1, BLOCK))
+        before = lambda sums: F.transform(sums, lambda _, b: total(sums, 1, b))
+        block = lambda i: F.floor(i / BLOCK).cast("int")
+        made = lambda starts: F.transform(own, lambda _, i: combine(starts[block(i)], total(own, block(i) * BLOCK + 1, i - block(i) * BLOCK + 1)))
+        return bound(blocks, lambda sums: bound(before(sums), made))
+
+    return bound(values, over)  # computed once, not for each element
+
+
 def masked(text: Column, spans: Column, mask: str = "<secret>") -> Column:
-    """The text with every span, or group of overlapping spans, replaced by a mask."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
+    """The text with every span, or group of overlapping spans, replaced by a mask. spans: in order of their starts.
+
+    The text is cut into its code points once, and what lies between the groups is taken from them in one pass.
+    """
+    ends = F.transform(spans, lambda s: s["end"])
+    none = F.lit(0).cast("bigint")
 
-    def step(done: Column, s: Column) -> Column:
-        kept = F.substring(text, (done["at"] + 1).cast("int"), F.greatest(s["start"] - done["at"], F.lit(0)).cast("int"))
-        more = F.when(s["start"] >= done["at"], F.concat(done["parts"], F.array(kept, F.lit(mask)))).otherwise(done["parts"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), more.alias("parts"))
+    def pieces(reach: Column) -> Column:
+        """reach: the furthest end of each span and those before it."""
+        before = lambda i: F.when(i > 0, reach[(i - 1).cast("int")]).otherwise(none)
+        opens = F.transform(spans, lambda s, i: F.struct(before(i).alias("at"), (s["start"] - before(i)).alias("n")))
+        groups = F.filter(opens, lambda o: o["n"] >= 0)
+        last = F.struct(reach[F.size(reach) - 1].alias("at"), F.length(text).cast("bigint").alias("n"))
+        cut = lambda points: F.array_join(F.transform(F.concat(groups, F.array(last)), lambda o: F.array_join(F.slice(points, (o["at"] + 1).cast("int"), o["n"].cast("int")), "")), mask)
+        return bound(F.split(text, ""), cut)
 
-    rest = lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    return F.when(F.size(spans) == 0, text).otherwise(bound(running(ends, lambda a, b: F.greatest(a, b), none), pieces))
 
 
 def redact(df: DataFrame, owner: str = "source", repo: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,7 +172,7 @@ def redact(df: DataFrame, owner: str = "source", repo: str = "doc_id", text_col:
     plain = found.where(F.size("generic") == 0)
     open_ = found.where(F.size("generic") > 0)
     each = open_.select("row", F.explode("generic").alias("s")).withColumn("value_hash", F.col("s.value_hash"))
-    live = each.join(judged.where("verdict = 'live'").select("value_hash"), "value_hash").groupBy("row").agg(F.collect_list("s").alias("live"))
+    live = met(each, judged.where("verdict = 'live'").select("value_hash")).groupBy("row").agg(F.collect_list("s").alias("live"))
     opened = open_.join(live, "row", "left").withColumn("base", F.array_sort(F.concat("base", F.coalesce("live", F.array().cast(found.schema["base"].dataType)))))
     both = plain.unionByName(opened.drop("live"))
     out = both.withColumn(text_col, F.when(F.col(text_col).isNotNull(), masked(F.col(text_col), F.col("base"))))
