@@ -296,7 +296,9 @@ def identify(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame
 
 
 def accepted(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that are not rejected, with their own columns."""
+    """The rows of ``df`` that are not rejected, with their own columns. Without a model nothing can be told, and all stay."""
+    if not models.languages:
+        return df
     own = df.columns
     renamed = df.toDF(*(f"in_{k}" for k in range(len(own))))  # names of the input may clash with the outputs
     found = identify(renamed, models, f"in_{own.index(text_col)}").where(~F.col("rejected"))
