@@ -10,6 +10,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from .functions import names
 from .functions.casts import exact_cast
 from .functions.types import TARGET_TYPES, compatible, fits_column, target_type_column
 from .operators import drift, load
+from .operators.database import JdbcSink, typed
 from .operators.profile import precision_loss as count_lossy
 from .operators.profile import profile, sample
 from .operators.similarity import score, verified
@@ -130,6 +132,37 @@ def load_roundtrip(spark, sf_dir):
     return spark.createDataFrame(rows, "year int, table_rows bigint, months bigint, again string")
 
 
+def _database(spark: SparkSession) -> JdbcSink:
+    """An embedded database in a new folder of this machine; its engine runs in the driver, so a local master is needed."""
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("an embedded database needs a local master; give the loader a server's address")
+    home = tempfile.mkdtemp(prefix="driftwright-db-")
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", f"{home}/derby.log")
+    sink = JdbcSink(spark, load.Connection("", f"{home}/db", "loader", "loader", schema="LOADER"), "derby")
+    sink.provision()
+    return sink
+
+
+@query(
+    "jdbc_roundtrip",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(extract(year FROM o_orderdate) AS INTEGER) AS table_year,
+    count(*) OVER (PARTITION BY date_trunc('month', o_orderdate)) AS manifest_rows, 'skip' AS again FROM orders WHERE o_orderdate IS NOT NULL""",
+)
+def jdbc_roundtrip(spark, sf_dir):
+    """Orders loaded by month into typed year tables of a database, and read back by ranges of the key with their manifest."""
+    root, sink = _scratch(spark), _database(spark)
+    orders = read(spark, sf_dir, "orders").where("o_orderdate is not null")
+    orders.withColumn("year", F.year("o_orderdate")).withColumn("month", F.month("o_orderdate")).write.partitionBy("year", "month").parquet(f"{root}/normalized")
+    months = month_files(spark, f"{root}/normalized")
+    for plan in load.plan_years(spark, months, sink, "orders"):
+        load.execute(spark, plan, months, sink, "orders")
+    again = spark.createDataFrame([(p.year, p.action) for p in load.plan_years(spark, months, sink, "orders")], "table_year int, again string")
+    manifest = spark.createDataFrame(sink.manifest("orders"), "table_year int, month int, manifest_rows bigint")
+    tables = [typed(sink.table("orders", year, "o_orderkey"), orders.schema).withColumn("table_year", F.lit(year)) for year in sink.counts("orders")]
+    found = reduce(DataFrame.unionByName, tables).withColumn("month", F.month("o_orderdate"))
+    return found.join(F.broadcast(manifest), ["table_year", "month"]).join(F.broadcast(again), "table_year").drop("month")
+
+
 # -- normalisation -----------------------------------------------------------------------------------------------
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.types import sql_name, target_type
-from ..sources.files import MonthFile
+from ..sources.files import MonthFile, list_parquet
 
 FLUSH_ROWS = 100_000
 MANIFEST = "_load_manifest"
@@ -67,7 +72,7 @@ def reconcile(disk: DataFrame, manifest: DataFrame, counts: DataFrame, full_refr
 
 
 class Sink(Protocol):
-    """Where year tables and the manifest live."""
+    """Where year tables and the manifest live. What ``append_all`` writes shows when ``record`` is done."""
 
     def counts(self, data_type: str) -> dict[int, int]: ...
 
@@ -75,61 +80,130 @@ class Sink(Protocol):
 
     def drop_year(self, data_type: str, year: int) -> None: ...
 
-    def append(self, data_type: str, year: int, month: int, df: DataFrame) -> None: ...
+    def append_all(self, data_type: str, year: int, months: dict[int, DataFrame]) -> None: ...
 
     def record(self, data_type: str, year: int, months: list[tuple[int, int]], replace: bool) -> None: ...
 
 
 class ParquetSink:
-    """Year tables as folders with a partition per month; the manifest is written after the data."""
+    """Year tables as folders, one per load with a partition per month, and a manifest of numbered versions.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    A load writes its rows into a folder that no version names, checks their number in the footers, and then gives the
+    year's next manifest version its name: that rename is the switch. A version says which load holds each month, so a
+    reader (``table``) sees the load before or after it and nothing between; folders that the newest version does not
+    name are removed after the switch and, where a load died before, at the begin of the next one. One loader at a time
+    may write a data type. ``after`` is told each step that is done.
+    """
+
+    #: The partition column of the folders; dropped where the table is read.
+    MONTH = "load_month"
+
+    def __init__(self, spark: SparkSession, root: str, after: Callable[[str], None] = lambda step: None):
+        self.spark, self.root, self.after = spark, root.rstrip("/"), after
+        self._staged: dict[tuple[str, int], str] = {}
 
     def _path(self, *parts: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _there(self, *parts: str) -> bool:
+    def _names(self, *parts: str) -> list[str]:
         path, system = self._path(*parts)
-        return system.exists(path)
+        return sorted(s.getPath().getName() for s in system.listStatus(path)) if system.exists(path) else []
+
+    def _versions(self, data_type: str, year: int) -> list[str]:
+        return [n for n in self._names(MANIFEST, f"data_type={data_type}", f"year={year}") if re.fullmatch(r"v\d{8}\.json", n)]
+
+    def state(self, data_type: str) -> dict[int, dict[int, tuple[int, str]]]:
+        """Per year and month, the rows and the load of the newest manifest versions."""
+        newest = {}
+        for name in self._names(MANIFEST, f"data_type={data_type}"):
+            if (found := re.fullmatch(r"year=(\d+)", name)) and (versions := self._versions(data_type, int(found[1]))):
+                newest[int(found[1])] = f"{self.root}/{MANIFEST}/data_type={data_type}/{name}/{versions[-1]}"
+        if not newest:
+            return {}
+        texts = self.spark.read.option("wholetext", True).text(list(newest.values())).collect()  # one short text per year
+        held = [json.loads(r[0]) for r in texts]
+        return {h["year"]: {int(m): (n, load) for m, (n, load) in h["months"].items()} for h in held}
+
+    def _folders(self, data_type: str, year: int, months: dict[int, tuple[int, str]]) -> list[str]:
+        return [f"{self.root}/{year_table(data_type, year)}/load={load}/{self.MONTH}={m}" for m, (_, load) in sorted(months.items())]
 
     def counts(self, data_type: str) -> dict[int, int]:
-        path, system = self._path()
-        if not system.exists(path):
-            return {}
-        names = [s.getPath().getName() for s in system.listStatus(path)]
-        years = [int(m[1]) for n in names if (m := re.fullmatch(rf"{re.escape(data_type)}_(\d{{4}})", n))]
-        return {y: self.spark.read.parquet(f"{self.root}/{year_table(data_type, y)}").count() for y in years}
+        """Rows per year, in the footers of the files that the manifest names: one job for all years."""
+        held = {year: months for year, months in self.state(data_type).items() if months}
+        files = {p: year for year, months in held.items() for folder in self._folders(data_type, year, months) for p in list_parquet(self.spark, folder)}
+        return {year: 0 for year in held} | self._rows(files)
 
-    def manifest(self, data_type: str) -> list[tuple[int, int, int]]:
-        if not self._there(MANIFEST, f"data_type={data_type}"):
-            return []
-        rows = self.spark.read.parquet(f"{self.root}/{MANIFEST}/data_type={data_type}").select("year", "month", "row_count").collect()
-        return sorted((r["year"], r["month"], r["row_count"]) for r in rows)
+    def _rows(self, files: dict[str, int]) -> dict[int, int]:
+        """Rows by the numbers given to files."""
+        from ..sources.footer import read_footers
 
-    def drop_year(self, data_type: str, year: int) -> None:
-        for parts in ((MANIFEST, f"data_type={data_type}", f"year={year}"), (year_table(data_type, year),)):
+        out: dict[int, int] = {}
+        if files:
+            for r in read_footers(self.spark, list(files)).groupBy("path").agg(F.max("num_rows").alias("rows")).toLocalIterator():
+                out[files[r["path"]]] = out.get(files[r["path"]], 0) + r["rows"]
+        return out
+
+    def manifest(self, data_type: str) -> list[tuple[int, int, int]]:
+        return sorted((y, m, n) for y, months in self.state(data_type).items() for m, (n, _) in months.items())
+
+    def table(self, data_type: str, year: int) -> DataFrame:
+        """The year table as its newest version has it."""
+        months = self.state(data_type).get(year)
+        if not months:
+            raise LoaderError(f"no table {year_table(data_type, year)}")
+        return self.spark.read.option("mergeSchema", "true").parquet(*self._folders(data_type, year, months))
+
+    def clean(self, data_type: str, year: int) -> None:
+        """Remove the loads that the newest version does not name, and names that were never given."""
+        held = {load for _, load in self.state(data_type).get(year, {}).values()}
+        table, place = year_table(data_type, year), (MANIFEST, f"data_type={data_type}", f"year={year}")
+        gone = [(table, n) for n in self._names(table) if n.startswith("load=") and n[5:] not in held]
+        gone += [(*place, n) for n in self._names(*place) if n.endswith(".tmp")]
+        for parts in gone:
             path, system = self._path(*parts)
             system.delete(path, True)
 
-    def append(self, data_type: str, year: int, month: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", 50 * FLUSH_ROWS).parquet(f"{self.root}/{year_table(data_type, year)}/month={month}")
-
     def append_all(self, data_type: str, year: int, months: dict[int, DataFrame]) -> None:
-        """Several months in one job: a partition each, and only those are replaced."""
-        parts = [df.withColumn("month", F.lit(month)) for month, df in months.items()]
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part, allowMissingColumns=True)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", 50 * FLUSH_ROWS)
-        writer.partitionBy("month").parquet(f"{self.root}/{year_table(data_type, year)}")
+        """Several months in one job, into a folder of their own."""
+        self.clean(data_type, year)
+        load = uuid.uuid4().hex
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn(self.MONTH, F.lit(month)) for month, df in months.items()])
+        writer = rows.write.option("compression", "zstd").option("maxRecordsPerFile", 50 * FLUSH_ROWS)
+        writer.partitionBy(self.MONTH).parquet(f"{self.root}/{year_table(data_type, year)}/load={load}")
+        self._staged[data_type, year] = load
+        self.after("staged")
 
     def record(self, data_type: str, year: int, months: list[tuple[int, int]], replace: bool) -> None:
-        known = {} if replace else {m: n for y, m, n in self.manifest(data_type) if y == year}
-        known.update(dict(months))  # at most twelve rows: one per month
-        rows = self.spark.createDataFrame([(m, n) for m, n in sorted(known.items())], "month int, row_count bigint")
-        rows.withColumn("loaded_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{MANIFEST}/data_type={data_type}/year={year}")
+        """Check the staged months, switch to them, and remove what was before."""
+        load = self._staged.pop((data_type, year), "")
+        place = f"{self.root}/{year_table(data_type, year)}/load={load}/{self.MONTH}="
+        files = {p: m for m, _ in months for p in list_parquet(self.spark, f"{place}{m}")}
+        found = self._rows(files)
+        wrong = [f"{m}: {found.get(m, 0)} of {n}" for m, n in months if found.get(m, 0) != n]
+        if wrong:
+            raise LoaderError(f"{year_table(data_type, year)}: rows staged by month {', '.join(wrong)}")
+        self.after("verified")
+        known = {} if replace else self.state(data_type).get(year, {})
+        known = known | {m: (n, load) for m, n in months}
+        parts = (MANIFEST, f"data_type={data_type}", f"year={year}")
+        versions = self._versions(data_type, year)
+        number = int(versions[-1][1:9]) + 1 if versions else 1
+        written = {"year": year, "months": {m: list(held) for m, held in sorted(known.items())}, "loaded_at": datetime.now(UTC).isoformat()}
+        draft, system = self._path(*parts, f"{uuid.uuid4().hex}.tmp")
+        out = system.create(draft)
+        out.write(bytearray(json.dumps(written).encode()))
+        out.close()
+        self.after("drafted")
+        target, _ = self._path(*parts, f"v{number:08d}.json")
+        if system.exists(target) or not system.rename(draft, target):
+            raise LoaderError(f"another loader wrote {target}")
+        self.after("switched")
+        self.clean(data_type, year)
+        self.after("cleaned")
+
+    def drop_year(self, data_type: str, year: int) -> None:
+        self.record(data_type, year, [], True)
 
 
 @dataclass(frozen=True)
@@ -141,54 +215,6 @@ class Connection:
     port: int = 1433
     schema: str = "dbo"
 
-    def url(self) -> str:
-        return f"jdbc:sqlserver://{self.host}:{self.port};databaseName={identifier(self.database)};encrypt=true;trustServerCertificate=true"
-
-
-class JdbcSink:
-    """Year tables in a database by JDBC, in batches; needs the driver's jar on the class path."""
-
-    def __init__(self, spark: SparkSession, connection: Connection):
-        self.spark, self.connection = spark, connection
-
-    def _options(self) -> dict[str, str]:
-        return {"url": self.connection.url(), "user": self.connection.user, "password": self.connection.password, "batchsize": str(FLUSH_ROWS), "tableLock": "true"}
-
-    def _name(self, table: str) -> str:
-        return f"{identifier(self.connection.schema)}.{identifier(table)}"
-
-    def query(self, sql: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self._options()).option("query", sql).load()
-
-    def execute(self, sql: str) -> None:
-        try:
-            held = self.spark._jvm.java.sql.DriverManager.getConnection(self.connection.url(), self.connection.user, self.connection.password)
-        except Exception as problem:
-            raise LoaderConnectionError(str(problem)) from problem
-        try:
-            held.createStatement().execute(sql)
-        finally:
-            held.close()
-
-    def counts(self, data_type: str) -> dict[int, int]:
-        names = [r[0] for r in self.query(f"SELECT name FROM sys.tables WHERE name LIKE '{identifier(data_type)}[_]____'").collect()]
-        return {int(n.rsplit("_", 1)[1]): self.query(f"SELECT COUNT_BIG(*) AS n FROM {self._name(n)}").first()["n"] for n in names}
-
-    def manifest(self, data_type: str) -> list[tuple[int, int, int]]:
-        rows = self.query(f"SELECT year, month, row_count FROM {self._name(MANIFEST)} WHERE data_type = '{identifier(data_type)}'").collect()
-        return sorted((r["year"], r["month"], r["row_count"]) for r in rows)
-
-    def drop_year(self, data_type: str, year: int) -> None:
-        self.execute(f"DROP TABLE IF EXISTS {self._name(year_table(data_type, year))}")
-        self.execute(f"DELETE FROM {self._name(MANIFEST)} WHERE data_type = '{identifier(data_type)}' AND year = {int(year)}")
-
-    def append(self, data_type: str, year: int, month: int, df: DataFrame) -> None:
-        df.write.format("jdbc").options(**self._options()).option("dbtable", self._name(year_table(data_type, year))).mode("append").save()
-
-    def record(self, data_type: str, year: int, months: list[tuple[int, int]], replace: bool) -> None:
-        rows = self.spark.createDataFrame([(data_type, year, m, n) for m, n in months], "data_type string, year int, month int, row_count bigint").withColumn("loaded_at", F.current_timestamp())
-        rows.write.format("jdbc").options(**self._options()).option("dbtable", self._name(MANIFEST)).mode("append").save()
-
 
 def plan_years(spark: SparkSession, months: list[MonthFile], sink: Sink, data_type: str, full_refresh: bool = False) -> list[YearPlan]:
     """The reconciled plan of one type."""
@@ -199,31 +225,17 @@ def plan_years(spark: SparkSession, months: list[MonthFile], sink: Sink, data_ty
 
 
 def execute(spark: SparkSession, plan: YearPlan, months: list[MonthFile], sink: Sink, data_type: str) -> int:
-    """Carry out one year: the rows that were written.
-
-    A sink that takes several months at once gets them in one job; else each appended month is recorded right after
-    its data. Data goes before the record, so a crash between the two shows as a count that differs.
-    """
+    """Carry out one year: the rows that were written. All its months go in one job; nothing of the year is dropped before
+    the sink switches to the new rows."""
     if plan.action == "skip":
         return 0
-    at = {m.month: m for m in months if m.year == plan.year}
-    reload = plan.action == "reload"
-    if reload:
+    if not plan.months:
         sink.drop_year(data_type, plan.year)
-    written = []
-    frames = {month: spark.read.parquet(*at[month].paths) for month in plan.months}
-    if frames and hasattr(sink, "append_all") and not any("month" in df.columns for df in frames.values()):
-        sink.append_all(data_type, plan.year, frames)
-        written = [(month, at[month].source_row_count) for month in plan.months]
-        sink.record(data_type, plan.year, written, reload)
-        return sum(n for _, n in written)
-    for month, df in frames.items():
-        sink.append(data_type, plan.year, month, df)
-        written.append((month, at[month].source_row_count))
-        if not reload:
-            sink.record(data_type, plan.year, [written[-1]], False)
-    if reload and written:
-        sink.record(data_type, plan.year, written, True)
+        return 0
+    at = {m.month: m for m in months if m.year == plan.year}
+    sink.append_all(data_type, plan.year, {month: spark.read.parquet(*at[month].paths) for month in plan.months})
+    written = [(month, at[month].source_row_count) for month in plan.months]
+    sink.record(data_type, plan.year, written, plan.action == "reload")
     return sum(n for _, n in written)
 
 
