@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from . import analytics
 from .functions import names
 from .functions.casts import exact_cast
+from .functions.hashing import least_hash
 from .functions.types import TARGET_TYPES, compatible, fits_column, target_type_column
 from .operators import drift, load
 from .operators.database import JdbcSink, typed
@@ -28,10 +28,11 @@ from .plans import pipeline
 from .plans.mapping import Mapping
 from .plans.planner import Action, Plan, plan_file
 from .plans.transform import apply, compile_action
-from .session import configure
+from .session import configure, scratch
 from .sources.download import classify_column
-from .sources.files import month_files
+from .sources.files import list_parquet, month_files
 from .sources.footer import family_stats, file_stats, read_footers
+from .sources.union import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,10 +54,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def values_sql(rows: list[tuple], columns: str) -> str:
-    """A VALUES table."""
-    text = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
-    return "(VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows) + f") AS t({columns})"
+#: Tables whose columns have simple types.
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels", "conversations"]
+
+
+def _columns(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame:
+    """``tab, ordinal, name, dtype`` of the tables' columns, from the footers of all their files."""
+    files = {p: t for t in tables for p in list_parquet(configure(spark), f"{sf_dir}/{t}.parquet")}
+    kinds = F.create_map(*(F.lit(x) for pair in files.items() for x in pair))
+    return read_footers(spark, list(files)).select(kinds[F.col("path")].alias("tab"), "ordinal", F.col("column").alias("name"), "dtype").distinct()
+
+
+def _columns_sql(tables: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS tab, column_name AS name, column_type AS dtype FROM (DESCRIBE {t})" for t in tables)
 
 
 # -- documented queries ------------------------------------------------------------------------------------------
@@ -100,27 +110,31 @@ def distinct_values(spark, sf_dir):
 
 @query("chunk_export", "SELECT chunk, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) // 5000 AS chunk FROM lineitem) GROUP BY 1")
 def chunk_export(spark, sf_dir):
-    return analytics.chunks(read(spark, sf_dir, "lineitem"), [F.col("l_orderkey"), F.col("l_linenumber")], 5000)
+    return analytics.chunks(read(spark, sf_dir, "lineitem"), 5000)
 
 
-@query("weighted_operations")
-def weighted_operations(spark, sf_dir):
-    chosen = analytics.weighted_choice(read(spark, sf_dir, "orders"), {"insert": 0.5, "update": 0.3, "delete": 0.2})
-    return chosen.groupBy("operation").agg(F.count("*").alias("n"))
+_ITEM = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+
+
+@query("chunk_rows", f"SELECT {', '.join(_ITEM)}, (row_number() OVER (ORDER BY {', '.join(_ITEM)}) - 1) // 5000 AS chunk FROM lineitem")
+def chunk_rows(spark, sf_dir):
+    """Each row and the file it is exported to."""
+    return analytics.row_chunks(read(spark, sf_dir, "lineitem").select(*_ITEM), _ITEM, 5000)
+
+
+_MARK = "md5('42|' || CAST(o_orderkey AS VARCHAR))"
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share: under ``spark.checkpoint.dir``, a temporary one where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{(root or 'file://' + tempfile.mkdtemp(prefix='driftwright-')).rstrip('/')}/load-{uuid.uuid4().hex}"
+@query("weighted_operations", f"SELECT CASE WHEN {_MARK} < '{least_hash(0.5)}' THEN 'insert' WHEN {_MARK} < '{least_hash(0.8)}' THEN 'update' ELSE 'delete' END AS operation, count(*) AS n FROM orders GROUP BY 1")
+def weighted_operations(spark, sf_dir):
+    chosen = analytics.weighted_choice(read(spark, sf_dir, "orders"), {"insert": 0.5, "update": 0.3, "delete": 0.2}, 42, ["o_orderkey"])
+    return chosen.groupBy("operation").agg(F.count("*").alias("n"))
 
 
 @query("load_roundtrip", "SELECT CAST(extract(year FROM o_orderdate) AS INTEGER) AS year, count(*) AS table_rows, count(DISTINCT extract(month FROM o_orderdate)) AS months, 'skip' AS again FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1")
 def load_roundtrip(spark, sf_dir):
     """Orders as a partitioned family, several files a month, loaded into year tables; a second plan finds nothing to do."""
-    root = _scratch(spark)
+    root = scratch(spark)
     orders = read(spark, sf_dir, "orders").where("o_orderdate is not null")
     orders.withColumn("year", F.year("o_orderdate")).withColumn("month", F.month("o_orderdate")).repartition(2).write.partitionBy("year", "month").parquet(f"{root}/normalized")
     sink, months = load.ParquetSink(spark, f"{root}/warehouse"), month_files(spark, f"{root}/normalized")
@@ -150,7 +164,7 @@ def _database(spark: SparkSession) -> JdbcSink:
 )
 def jdbc_roundtrip(spark, sf_dir):
     """Orders loaded by month into typed year tables of a database, and read back by ranges of the key with their manifest."""
-    root, sink = _scratch(spark), _database(spark)
+    root, sink = scratch(spark), _database(spark)
     orders = read(spark, sf_dir, "orders").where("o_orderdate is not null")
     orders.withColumn("year", F.year("o_orderdate")).withColumn("month", F.month("o_orderdate")).write.partitionBy("year", "month").parquet(f"{root}/normalized")
     months = month_files(spark, f"{root}/normalized")
@@ -261,16 +275,15 @@ def family_statistics(spark, sf_dir):
 
 @query(
     "mixed_type_fold",
-    f"""WITH v AS (SELECT * FROM {values_sql([("a", "f1", "N", "Y", None, None), ("a", "f2", None, None, 1, 9), ("b", "f1", None, None, 1, 9), ("b", "f2", "N", "Y", None, None)], "c, path, lo_t, hi_t, lo_n, hi_n")}),
-    f AS (SELECT c, arg_min(CASE WHEN lo_n IS NOT NULL THEN 'number' ELSE 'text' END, path) AS kind FROM v GROUP BY c)
-    SELECT v.c AS "column", min(CASE WHEN kind = 'text' THEN lo_t END) AS min_text, max(CASE WHEN kind = 'text' THEN hi_t END) AS max_text,
-    CAST(min(CASE WHEN kind = 'number' THEN lo_n END) AS DOUBLE) AS min_number, CAST(max(CASE WHEN kind = 'number' THEN hi_n END) AS DOUBLE) AS max_number FROM v JOIN f ON v.c = f.c GROUP BY v.c""",
+    """SELECT 'a' AS "column", min(o_orderpriority) AS min_text, max(o_orderpriority) AS max_text, CAST(NULL AS DOUBLE) AS min_number, CAST(NULL AS DOUBLE) AS max_number FROM orders
+    UNION ALL SELECT 'b', NULL, NULL, CAST(min(o_custkey) AS DOUBLE), CAST(max(o_custkey) AS DOUBLE) FROM orders""",
 )
 def mixed_type_fold(spark, sf_dir):
-    rows = [("a", "f1", "VARCHAR", "N", "Y", None, None), ("a", "f2", "INTEGER", None, None, 1, 9), ("b", "f1", "INTEGER", None, None, 1, 9), ("b", "f2", "VARCHAR", "N", "Y", None, None)]
-    df = spark.createDataFrame(rows, "column string, path string, dtype string, min_text string, max_text string, min_long bigint, max_long bigint")
-    df = df.withColumns({"min_double": F.lit(None).cast("double"), "max_double": F.lit(None).cast("double"), "num_values": F.lit(2), "null_count": F.lit(0), "error": F.lit(None).cast("string")})
-    return family_stats(df).select("column", "min_text", "max_text", "min_number", "max_number")
+    """A family whose columns change between texts and numbers keeps the bounds of the kind that its first file shows."""
+    orders, root = read(spark, sf_dir, "orders"), scratch(spark)
+    for when, text, number in (("2024-01", "a", "b"), ("2024-02", "b", "a")):
+        orders.select(F.col("o_orderpriority").alias(text), F.col("o_custkey").alias(number)).write.parquet(f"{root}/x_{when}")
+    return family_stats(read_footers(spark, list_parquet(spark, root))).select("column", "min_text", "max_text", "min_number", "max_number")
 
 
 @query("precision_loss", "SELECT count(*) FILTER (WHERE l_extendedprice IS NOT NULL AND l_extendedprice != CAST(l_extendedprice AS BIGINT)) AS lossy_rows FROM lineitem")
@@ -314,132 +327,213 @@ def profile_top5(spark, sf_dir):
 
 
 def _profile_sql(table: str, columns: list[str]) -> str:
-    one = """SELECT '{c}' AS c, count(*) AS t, count({c}) AS nn, count(DISTINCT {c}) AS u, min({c}) AS lo, max({c}) AS hi, avg({c}) AS a,
+    one = """SELECT '{c}' AS c, count(*) AS t, count({c}) AS nn, count(DISTINCT {c}) AS u, CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi, avg({c}) AS a,
     (SELECT list(v) FROM (SELECT CAST({c} AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 5)) AS top FROM {t}"""
     return " UNION ALL ".join(one.format(c=c, t=table) for c in columns)
 
 
 _PAIRED = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
-_MEASURES = f"""WITH p AS ({_profile_sql("lineitem", _PAIRED)}),
-    m AS (SELECT x.c AS a, y.c AS b, abs(x.nn / x.t - y.nn / y.t) AS dn, abs(log10(x.u / x.nn + 0.001) - log10(y.u / y.nn + 0.001)) AS dk,
+
+
+def _measures_sql(left: str, right: str, on: str) -> str:
+    """The measures of pairs of columns; left and right are tables of profiles."""
+    return f"""m AS (SELECT x.c AS a, y.c AS b, abs(x.nn / x.t - y.nn / y.t) AS dn, abs(log10(x.u / x.nn + 0.001) - log10(y.u / y.nn + 0.001)) AS dk,
     least(x.hi, y.hi) - greatest(x.lo, y.lo) AS ov, greatest(CASE WHEN x.hi = x.lo THEN 1 ELSE x.hi - x.lo END, CASE WHEN y.hi = y.lo THEN 1 ELSE y.hi - y.lo END) AS w,
-    abs(x.a - y.a) / greatest(abs(x.a), abs(y.a), 1) AS da, len(list_intersect(x.top, y.top)) AS common, greatest(len(x.top), len(y.top)) AS widest, x.u < 20 AND y.u < 20 AS few FROM p x JOIN p y ON x.c < y.c)"""
+    abs(x.a - y.a) / greatest(abs(x.a), abs(y.a), 1) AS da, len(list_intersect(x.top, y.top)) AS common, greatest(len(x.top), len(y.top)) AS widest, x.u < 20 AND y.u < 20 AS few FROM {left} x JOIN {right} y ON {on})"""
+
+
+_MEASURES = f"WITH p AS ({_profile_sql('lineitem', _PAIRED)}), {_measures_sql('p', 'p', 'x.c < y.c')}"
+_SCORE = "round((greatest(0, 1 - 2 * dn) + greatest(0, 1 - dk) + 2 * CASE WHEN ov >= 0 THEN ov / w ELSE 0 END + greatest(0, 1 - da) + common / widest) / 6, 6)"
+_VERIFIED = """(CASE WHEN dn < 0.1 THEN 1 ELSE 0 END + CASE WHEN dk < 0.5 THEN 1 ELSE 0 END + CASE WHEN ov >= 0 AND ov / w > 0.5 THEN 1.5 ELSE 0 END + CASE WHEN da < 0.2 THEN 1 ELSE 0 END + common / 5)
+    / (4.5 + CASE WHEN common > 0 OR few THEN 1 ELSE 0 END) >= 0.5"""
 
 
 def _pairs(spark, sf_dir):
-    found = profile(read(spark, sf_dir, "lineitem"), _PAIRED)
+    profiled = profile(read(spark, sf_dir, "lineitem"), _PAIRED)
+    found = spark.createDataFrame(profiled.collect(), profiled.schema)  # a row per column; both sides of the join need it
     a, b = found.select(F.struct("*").alias("a")), found.select(F.struct("*").alias("b"))
     return a.join(b, F.col("a.column") < F.col("b.column"))
 
 
-@query("similarity_score", _MEASURES + " SELECT a, b, round((greatest(0, 1 - 2 * dn) + greatest(0, 1 - dk) + 2 * CASE WHEN ov >= 0 THEN ov / w ELSE 0 END + greatest(0, 1 - da) + common / widest) / 6, 6) AS score FROM m")
+@query("similarity_score", f"{_MEASURES} SELECT a, b, {_SCORE} AS score FROM m")
 def similarity_score(spark, sf_dir):
     return _pairs(spark, sf_dir).select(F.col("a.column").alias("a"), F.col("b.column").alias("b"), F.round(score(F.col("a"), F.col("b")), 6).alias("score"))
 
 
-@query(
-    "verify_score",
-    _MEASURES
-    + """ SELECT a, b, (CASE WHEN dn < 0.1 THEN 1 ELSE 0 END + CASE WHEN dk < 0.5 THEN 1 ELSE 0 END + CASE WHEN ov >= 0 AND ov / w > 0.5 THEN 1.5 ELSE 0 END + CASE WHEN da < 0.2 THEN 1 ELSE 0 END + common / 5)
-    / (4.5 + CASE WHEN common > 0 OR few THEN 1 ELSE 0 END) >= 0.5 AS verified FROM m""",
-)
+@query("verify_score", f"{_MEASURES} SELECT a, b, {_VERIFIED} AS verified FROM m")
 def verify_score(spark, sf_dir):
     return _pairs(spark, sf_dir).select(F.col("a.column").alias("a"), F.col("b.column").alias("b"), verified(F.col("a"), F.col("b")).alias("verified"))
 
 
-@query("sample_profile")
+_SAMPLED = "md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|' || CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR))"
+_SAMPLE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("sample_profile", f"WITH s AS (SELECT * FROM lineitem ORDER BY {_SAMPLED} LIMIT 5000) " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS total_count, count({c}) AS non_null_count, count(DISTINCT {c}) AS unique_count, min(TRY_CAST({c} AS DOUBLE)) AS min, max(TRY_CAST({c} AS DOUBLE)) AS max, round(avg(TRY_CAST({c} AS DOUBLE)), 6) AS avg FROM s" for c in _PROFILED))
 def sample_profile(spark, sf_dir):
-    return profile(sample(read(spark, sf_dir, "lineitem"), 5000), _PROFILED)
+    chosen = sample(read(spark, sf_dir, "lineitem"), 5000, _SAMPLE_KEYS)
+    return profile(chosen, _PROFILED).select("column", "total_count", "non_null_count", "unique_count", "min", "max", F.round("avg", 6).alias("avg"))
 
 
-@query("sample_percent")
+@query("sample_percent", f"SELECT count(*) AS n FROM lineitem WHERE {_SAMPLED} < '{least_hash(0.1)}'")
 def sample_percent(spark, sf_dir):
-    return sample(read(spark, sf_dir, "lineitem"), "10%").agg(F.count("*").alias("n"))
+    return sample(read(spark, sf_dir, "lineitem"), "10%", _SAMPLE_KEYS).agg(F.count("*").alias("n"))
 
 
 # -- names and types ---------------------------------------------------------------------------------------------
 
-_NAMES = ["Trip_Pickup_DateTime", "tpep_pickup_datetime", "Start_Lon", "pickup_longitude", "PULocationID", "DOLocationID", "vendor_name", "VendorID", "Tip_Amt", "tip_amount", "Total_Amt", "pax_cnt", "dropoff_datetime", "trip", "o_orderdate", "store_and_fwd_flag"]
+_NAMES_SQL = f"n AS (SELECT name FROM ({_columns_sql(_TABLES)}) UNION SELECT replace(p_name, ' ', '_') FROM part UNION SELECT p_type || '_pickup_' || lower(p_brand) FROM part)"
 
 
-def _name_rows(spark):
-    return spark.createDataFrame([(n,) for n in _NAMES], "name string")
+def _names(spark, sf_dir):
+    """Column names of all tables, and names made of the parts' names, types and brands."""
+    part = read(spark, sf_dir, "part")
+    made = part.select(F.translate("p_name", " ", "_").alias("name")).union(part.select(F.concat("p_type", F.lit("_pickup_"), F.lower("p_brand"))))
+    return _columns(spark, sf_dir, _TABLES).select("name").union(made).distinct()
 
 
 _NORMALIZED = "list_transform(list_filter(string_split(replace(lower(name), '_', ' '), ' '), lambda w: w <> ''), lambda w: CASE w " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.EXPANSIONS.items()) + " ELSE w END)"
 
 
-@query("name_normalize", f"SELECT name, array_to_string({_NORMALIZED}, '') AS normalized FROM {values_sql([(n,) for n in _NAMES], 'name')}")
+@query("name_normalize", f"WITH {_NAMES_SQL} SELECT name, array_to_string({_NORMALIZED}, '') AS normalized FROM n")
 def name_normalize(spark, sf_dir):
-    return _name_rows(spark).select("name", names.normalized(F.col("name")).alias("normalized"))
+    return _names(spark, sf_dir).select("name", names.normalized(F.col("name")).alias("normalized"))
 
 
-@query("name_categories", "SELECT name, array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(lower(name), '{'|'.join(parts)}') THEN '{c}' END" for c, parts in names.CATEGORIES.items()) + f"], lambda x: x IS NOT NULL), ',') AS categories FROM {values_sql([(n,) for n in _NAMES], 'name')}")
+@query("name_categories", f"WITH {_NAMES_SQL} SELECT name, array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(lower(name), '{'|'.join(parts)}') THEN '{c}' END" for c, parts in names.CATEGORIES.items()) + "], lambda x: x IS NOT NULL), ',') AS categories FROM n")
 def name_categories(spark, sf_dir):
-    return _name_rows(spark).select("name", F.array_join(names.categories(F.col("name")), ",").alias("categories"))
+    return _names(spark, sf_dir).select("name", F.array_join(names.categories(F.col("name")), ",").alias("categories"))
 
 
 @query("name_similarity")
 def name_similarity(spark, sf_dir):
-    a, b = _name_rows(spark).select(F.col("name").alias("a")), _name_rows(spark).select(F.col("name").alias("b"))
-    return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.round(names.similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
+    """Each table's columns against those of the line items: common subsequences are beyond SQL."""
+    every = _columns(spark, sf_dir, _TABLES)
+    a, b = every.where("tab <> 'lineitem'").select(F.col("name").alias("a")).distinct(), every.where("tab = 'lineitem'").select(F.col("name").alias("b"))
+    return a.join(F.broadcast(b), F.col("a") != F.col("b")).select("a", "b", F.round(names.similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
-_TYPES = ["INTEGER", "BIGINT", "DOUBLE", "DECIMAL", "DECIMAL(2,1)", "VARCHAR", "TEXT", "TIMESTAMP", "DATE", "BOOLEAN"]
-_SETS = " OR ".join("(x.t IN ({0}) AND y.t IN ({0}))".format(", ".join(f"'{t}'" for t in group)) for group in [["INTEGER", "BIGINT", "DOUBLE", "FLOAT", "DECIMAL", "NUMERIC", "INT"], ["VARCHAR", "TEXT", "STRING", "CHAR"], ["TIMESTAMP", "DATETIME", "DATE", "TIME"]])
+_SETS = " OR ".join("(x.dtype IN ({0}) AND y.dtype IN ({0}))".format(", ".join(f"'{t}'" for t in group)) for group in [["INTEGER", "BIGINT", "DOUBLE", "FLOAT", "DECIMAL", "NUMERIC", "INT"], ["VARCHAR", "TEXT", "STRING", "CHAR"], ["TIMESTAMP", "DATETIME", "DATE", "TIME"]])
 
 
-@query("types_compatible_matrix", f"WITH v AS (SELECT * FROM {values_sql([(t,) for t in _TYPES], 't')}) SELECT x.t AS a, y.t AS b, x.t = y.t OR {_SETS} AS compatible FROM v x, v y WHERE x.t <= y.t")
+@query("types_compatible_matrix", f"WITH c AS ({_columns_sql(_TABLES)}) SELECT x.name AS a, y.tab || '.' || y.name AS b, x.dtype = y.dtype OR {_SETS} AS compatible FROM c x JOIN c y ON x.tab = 'lineitem' AND y.tab <> 'lineitem'")
 def types_compatible_matrix(spark, sf_dir):
-    df = spark.createDataFrame([(t,) for t in _TYPES], "t string")
-    pairs = df.select(F.col("t").alias("a")).join(df.select(F.col("t").alias("b")), F.col("a") <= F.col("b"))
-    return pairs.select("a", "b", compatible(F.col("a"), F.col("b")).alias("compatible"))
+    """Whether a line item's column may stand for a column of another table."""
+    every = _columns(spark, sf_dir, _TABLES)
+    a = every.where("tab = 'lineitem'").select(F.col("name").alias("a"), F.col("dtype").alias("s"))
+    b = every.where("tab <> 'lineitem'").select(F.concat_ws(".", "tab", "name").alias("b"), F.col("dtype").alias("t"))
+    return b.join(F.broadcast(a)).select("a", "b", compatible(F.col("s"), F.col("t")).alias("compatible"))
 
 
-_DDL_TYPES = [*TARGET_TYPES, "decimal(10,2)", " bigint ", "UUID"]
-
-
-@query("type_map_ddl", "SELECT t AS name, CASE upper(trim(t)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TARGET_TYPES.items()) + f" WHEN 'DECIMAL(10,2)' THEN 'DECIMAL(10,2)' END AS target FROM {values_sql([(t,) for t in _DDL_TYPES], 't')}")
+@query("type_map_ddl", f"SELECT tab, name, CASE dtype " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TARGET_TYPES.items()) + f" END AS target FROM ({_columns_sql(_TABLES)})")
 def type_map_ddl(spark, sf_dir):
-    return spark.createDataFrame([(t,) for t in _DDL_TYPES], "name string").select("name", target_type_column(F.col("name")).alias("target"))
+    return _columns(spark, sf_dir, _TABLES).select("tab", "name", target_type_column(F.col("dtype")).alias("target"))
 
 
 # -- drift -------------------------------------------------------------------------------------------------------
 
-_SIGNATURES = [("yellow", "2009-01", "a:INT,b:INT"), ("yellow", "2009-02", "a:INT,b:INT"), ("yellow", "2009-03", "a:INT,c:INT"), ("yellow", "2009-04", "b:INT,a:INT"), ("green", "2009-03", "a:INT"), ("green", "2009-04", "a:INT")]
+#: Orders as three families by status, a folder per quarter, whose schema changes with the years.
+_ERAS = [(None, 1997, "cust, price"), (1997, 2000, "o_custkey, price as whole"), (2000, None, "o_custkey, price, o_orderpriority")]
+_QUARTERS = """q AS (SELECT DISTINCT o_orderstatus AS data_type, strftime(date_trunc('quarter', o_orderdate), '%Y-%m') AS period, CASE WHEN year(o_orderdate) < 1997 THEN 1 WHEN year(o_orderdate) < 2000 THEN 2 ELSE 3 END AS era FROM orders WHERE o_orderdate IS NOT NULL AND o_orderstatus IS NOT NULL),
+    t AS (SELECT * FROM (SELECT *, lag(era) OVER (PARTITION BY data_type ORDER BY period) AS was FROM q) WHERE was IS NULL OR was <> era)"""
+_SIGNATURES = {1: "o_orderkey:BIGINT,cust:BIGINT,price:DOUBLE", 2: "o_orderkey:BIGINT,o_custkey:BIGINT,price:BIGINT", 3: "o_orderkey:BIGINT,o_custkey:BIGINT,price:DOUBLE,o_orderpriority:VARCHAR"}
+_drifted_at: dict[tuple[str, str], str] = {}
+
+
+def _drifted(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    """The files of the drifted families, written once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _drifted_at:
+        root = scratch(configure(spark))
+        orders = read(spark, sf_dir, "orders").where("o_orderdate is not null and o_orderstatus is not null")
+        orders = orders.withColumns({"kind": F.col("o_orderstatus"), "year": F.year("o_orderdate"), "month": 3 * F.quarter("o_orderdate") - 2})
+        price, folders = F.col("o_totalprice").alias("price"), ["kind", "year", "month"]
+        eras = [(F.col("year") < 1997, [F.col("o_custkey").alias("cust"), price]), (F.col("year").between(1997, 1999), ["o_custkey", F.col("o_totalprice").cast("bigint").alias("price")]), (F.col("year") >= 2000, ["o_custkey", price, "o_orderpriority"])]
+        for during, columns in eras:
+            orders.where(during).select("o_orderkey", *columns, *folders).repartition(*folders).write.mode("append").partitionBy(*folders).parquet(root)
+        _drifted_at[key] = root
+    files = list_parquet(spark, _drifted_at[key])
+    kinds = sorted({re.search(r"/kind=([^/]+)/", p)[1] for p in files})
+    return {k: [p for p in files if f"/kind={k}/" in p] for k in kinds}
+
+
+@query("schema_transitions", f"WITH {_QUARTERS} SELECT data_type, period, CASE era " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _SIGNATURES.items()) + " END AS sig FROM t")
+def schema_transitions(spark, sf_dir):
+    files = drift.family_schemas(spark, _drifted(spark, sf_dir)).withColumn("sig", drift.signature(F.col("columns")))
+    return drift.transitions(files, ["data_type"]).select("data_type", "period", "sig")
 
 
-@query("schema_transitions", f"SELECT data_type, period, sig FROM (SELECT *, lag(sig) OVER (PARTITION BY data_type ORDER BY period) AS before FROM {values_sql(_SIGNATURES, 'data_type, period, sig')}) WHERE before IS NULL OR sig <> before")
-def schema_transitions(spark, sf_dir):
-    return drift.transitions(spark.createDataFrame(_SIGNATURES, "data_type string, period string, sig string"), ["data_type"])
+@query(
+    "drift_changes",
+    f"""WITH {_QUARTERS}, c AS (SELECT *, lag(period) OVER (PARTITION BY data_type ORDER BY period) AS period_from FROM t)
+    SELECT data_type, period_from, period AS period_to, CASE WHEN was = 1 THEN 'o_custkey:BIGINT' || CASE WHEN era = 3 THEN ',o_orderpriority:VARCHAR' ELSE '' END ELSE 'o_orderpriority:VARCHAR' END AS added,
+    CASE WHEN was = 1 THEN 'cust:BIGINT' ELSE '' END AS removed, CASE WHEN was = 1 AND era = 3 THEN '' WHEN was = 1 THEN 'price:DOUBLE>BIGINT' ELSE 'price:BIGINT>DOUBLE' END AS retyped FROM c WHERE period_from IS NOT NULL""",
+)
+def drift_changes(spark, sf_dir):
+    """Every change of three families over some eighty files, from one job over their footers."""
+    found = drift.changes(drift.family_schemas(spark, _drifted(spark, sf_dir)))
+    columns = lambda name: F.array_join(F.transform(name, lambda c: F.concat_ws(":", c["name"], c["dtype"])), ",").alias(name)
+    retyped = F.array_join(F.transform("retyped", lambda c: F.concat(c["name"], F.lit(":"), c["old_type"], F.lit(">"), c["new_type"])), ",").alias("retyped")
+    return found.select("data_type", "period_from", "period_to", columns("added"), columns("removed"), retyped)
+
+
+@query(
+    "family_scan",
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) < 1997 THEN o_custkey END AS cust, CASE WHEN year(o_orderdate) >= 1997 THEN o_custkey END AS o_custkey,
+    CASE WHEN year(o_orderdate) BETWEEN 1997 AND 1999 THEN trunc(o_totalprice) ELSE o_totalprice END AS price, CASE WHEN year(o_orderdate) >= 2000 THEN o_orderpriority END AS o_orderpriority
+    FROM orders WHERE o_orderdate IS NOT NULL AND o_orderstatus IS NOT NULL""",
+)
+def family_scan(spark, sf_dir):
+    """All rows of files of three schemas as one table: columns by name, of the least type that holds them."""
+    files = _drifted(spark, sf_dir)
+    return scan(spark, [f"{_drifted_at[spark.sparkContext.applicationId, sf_dir]}/kind=*"]) if files else None
 
 
-_OLD = [("vendorid", "INTEGER"), ("pu_datetime", "TIMESTAMP"), ("passenger_count", "DOUBLE"), ("fare", "DOUBLE")]
-_NEW = [("vendorid", "INTEGER"), ("tpep_pickup_datetime", "TIMESTAMP"), ("passenger_count", "BIGINT"), ("fare", "DOUBLE"), ("airport_fee", "DOUBLE")]
+_STRIPPED = "regexp_replace(name, '^[a-z]+_', '')"
 
 
-@query("schema_diff", f"SELECT coalesce(o.name, n.name) AS name, CASE WHEN o.name IS NULL THEN 'added' WHEN n.name IS NULL THEN 'removed' ELSE 'type_changed' END AS change, o.dtype AS old_type, n.dtype AS new_type FROM (SELECT * FROM {values_sql(_OLD, 'name, dtype')}) o FULL JOIN (SELECT * FROM {values_sql(_NEW, 'name, dtype')}) n ON o.name = n.name WHERE o.dtype IS DISTINCT FROM n.dtype")
+@query("schema_diff", f"SELECT coalesce(o.name, n.name) AS name, CASE WHEN o.name IS NULL THEN 'added' WHEN n.name IS NULL THEN 'removed' ELSE 'type_changed' END AS change, o.dtype AS old_type, n.dtype AS new_type FROM (SELECT {_STRIPPED} AS name, dtype FROM ({_columns_sql(['customer'])})) o FULL JOIN (SELECT {_STRIPPED} AS name, dtype FROM ({_columns_sql(['orders'])})) n ON o.name = n.name WHERE o.dtype IS DISTINCT FROM n.dtype")
 def schema_diff(spark, sf_dir):
-    return drift.schema_diff(*(spark.createDataFrame(rows, "name string, dtype string") for rows in (_OLD, _NEW)))
+    """From the customers' schema to the orders', without the tables' prefixes."""
+    stripped = _columns(spark, sf_dir, ["customer", "orders"]).select("tab", F.regexp_replace("name", "^[a-z]+_", "").alias("name"), "dtype")
+    return drift.schema_diff(stripped.where("tab = 'customer'"), stripped.where("tab = 'orders'"))
 
 
-@query("rename_greedy")
+_OLD, _NEW = ["o_orderkey", "o_custkey", "o_totalprice"], ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"]
+_ACROSS = f"p AS ({_profile_sql('orders', _OLD)}), r AS ({_profile_sql('lineitem', _NEW)}), {_measures_sql('p', 'r', 'true')}"
+
+
+def _across(spark, sf_dir):
+    """Data similarity of the keys and prices of orders with those of line items."""
+    kind = lambda c: "DOUBLE" if c.endswith("price") else "BIGINT"
+    pairs = drift.data_pairs(configure(spark), [(c, kind(c)) for c in _OLD], [(c, kind(c)) for c in _NEW], f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet", 0)
+    return pairs.select("old", "new", F.round("score", 6).alias("score"), "verified")
+
+
+@query(
+    "rename_greedy",
+    f"""WITH RECURSIVE {_ACROSS}, e AS (SELECT a, b, {_SCORE} AS score, row_number() OVER (ORDER BY {_SCORE} DESC, a, b) AS k FROM m),
+    g AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS olds, CAST([] AS VARCHAR[]) AS news, false AS taken
+    UNION ALL SELECT e.k, CASE WHEN list_contains(olds, a) OR list_contains(news, b) THEN olds ELSE list_append(olds, a) END, CASE WHEN list_contains(olds, a) OR list_contains(news, b) THEN news ELSE list_append(news, b) END,
+    NOT (list_contains(olds, a) OR list_contains(news, b)) FROM g JOIN e ON e.k = g.k + 1)
+    SELECT a AS old, b AS new, score FROM g JOIN e ON e.k = g.k WHERE taken""",
+)
 def rename_greedy(spark, sf_dir):
-    found = drift.renames_by_name(spark, [("pu_datetime", "TIMESTAMP"), ("Tip_Amt", "DOUBLE"), ("Start_Lon", "DOUBLE")], [("tpep_pickup_datetime", "TIMESTAMP"), ("tip_amount", "DOUBLE"), ("pickup_longitude", "DOUBLE")])
-    return spark.createDataFrame([(r.old, r.new, r.confidence) for r in found], "old string, new string, confidence double")
+    return drift.best_pairs(_across(spark, sf_dir))
 
 
-@query("rename_by_data")
+@query("rename_by_data", f"WITH {_ACROSS} SELECT a AS old, b AS new, {_SCORE} AS score, {_VERIFIED} AS verified FROM m")
 def rename_by_data(spark, sf_dir):
-    """Data similarity between two tables' columns: keys and prices of orders against line items."""
-    spark = configure(spark)
-    return drift.data_pairs(spark, [("o_orderkey", "BIGINT"), ("o_totalprice", "DOUBLE")], [("l_orderkey", "BIGINT"), ("l_extendedprice", "DOUBLE")], f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet", 0).select("old", "new", F.round("score", 6).alias("score"), "verified")
+    return _across(spark, sf_dir)
 
 
-@query("column_coverage", f"SELECT name, string_agg(DISTINCT t, ',' ORDER BY t) AS types FROM (SELECT name, 'old' AS t FROM {values_sql(_OLD, 'name, dtype')} UNION ALL SELECT name, 'new' FROM {values_sql(_NEW, 'name, dtype')}) GROUP BY name")
+@query(
+    "column_coverage",
+    f"""WITH {_QUARTERS}, c AS (SELECT data_type, unnest(CASE era WHEN 1 THEN ['o_orderkey', 'cust', 'price'] WHEN 2 THEN ['o_orderkey', 'o_custkey', 'price'] ELSE ['o_orderkey', 'o_custkey', 'price', 'o_orderpriority'] END) AS name FROM q)
+    SELECT name, string_agg(DISTINCT data_type, ',' ORDER BY data_type) AS types FROM c GROUP BY name""",
+)
 def column_coverage(spark, sf_dir):
-    both = [(n, "old") for n, _ in _OLD] + [(n, "new") for n, _ in _NEW]
-    return spark.createDataFrame(both, "name string, t string").groupBy("name").agg(F.array_join(F.sort_array(F.collect_set("t")), ",").alias("types"))
+    return drift.column_types(drift.family_schemas(spark, _drifted(spark, sf_dir))).withColumn("types", F.array_join("types", ","))
 
 
 # -- loads -------------------------------------------------------------------------------------------------------
@@ -501,36 +595,43 @@ def manifest_integrity(spark, sf_dir):
 
 # -- orchestration -----------------------------------------------------------------------------------------------
 
-_CODES = [(s, c) for s in ("download", "normalize", "load") for c in (0, 1, 2, 3)]
 _STATUS_SQL = "CASE WHEN code = 0 THEN 'ok' WHEN stage = 'download' THEN 'failed' WHEN stage = 'normalize' THEN CASE WHEN code IN (1, 3) THEN 'needs_review' ELSE 'failed' END WHEN code = 1 THEN 'partial' ELSE 'conn_error' END"
+#: A run for each customer: exit codes of its stages, from its key and nation.
+_CODES = {"download": "CAST(c_custkey % 3 AS INTEGER)", "normalize": "CAST(c_nationkey % 4 AS INTEGER)", "load": "CAST(c_custkey % 5 % 3 AS INTEGER)"}
+_RUNS_SQL = "r AS (" + " UNION ALL ".join(f"SELECT c_custkey, '{stage}' AS stage, {code} AS code FROM customer" for stage, code in _CODES.items()) + f"), s AS (SELECT *, {_STATUS_SQL} AS status FROM r)"
 
 
-def _codes(spark):
-    return spark.createDataFrame(_CODES, "stage string, code int").withColumn("status", pipeline.status_column(F.col("stage"), F.col("code")))
+def _outcomes(spark, sf_dir):
+    """``c_custkey, outcomes``: stage, code and status of each stage of a customer's run."""
+    codes = [(stage, F.expr(code)) for stage, code in _CODES.items()]
+    each = F.array(*(F.struct(F.lit(stage).alias("stage"), code.alias("code"), pipeline.status_column(F.lit(stage), code).alias("status")) for stage, code in codes))
+    return read(spark, sf_dir, "customer").select("c_custkey", each.alias("outcomes"))
 
 
-@query("classify_outcomes", f"SELECT stage, CAST(code AS INTEGER) AS code, {_STATUS_SQL} AS status FROM {values_sql(_CODES, 'stage, code')}")
+@query("classify_outcomes", f"WITH {_RUNS_SQL} SELECT stage, code, status, count(*) AS n FROM s GROUP BY ALL")
 def classify_outcomes(spark, sf_dir):
-    return _codes(spark)
+    return _outcomes(spark, sf_dir).select(F.explode("outcomes").alias("o")).groupBy("o.stage", "o.code", "o.status").agg(F.count("*").alias("n"))
 
 
-@query("overall_code", f"SELECT code, CAST(max(CASE WHEN status IN ('failed', 'partial', 'conn_error') THEN 2 WHEN status = 'needs_review' THEN 1 ELSE 0 END) AS INTEGER) AS overall FROM (SELECT CAST(code AS INTEGER) AS code, {_STATUS_SQL} AS status FROM {values_sql(_CODES, 'stage, code')}) GROUP BY code")
+@query("overall_code", f"WITH {_RUNS_SQL} SELECT c_custkey, CAST(max(CASE WHEN status IN ('failed', 'partial', 'conn_error') THEN 2 WHEN status = 'needs_review' THEN 1 ELSE 0 END) AS INTEGER) AS overall FROM s GROUP BY c_custkey")
 def overall_code(spark, sf_dir):
-    worst = F.when(F.col("status").isin("failed", "partial", "conn_error"), 2).when(F.col("status") == "needs_review", 1).otherwise(0)
-    return _codes(spark).groupBy("code").agg(F.max(worst).alias("overall"))
+    each = _outcomes(spark, sf_dir).select("c_custkey", F.explode("outcomes.status").alias("status"))
+    return each.groupBy("c_custkey").agg(pipeline.exit_column(F.col("status")).alias("overall"))
 
 
-@query("type_label", f"SELECT stage, status, CASE WHEN stage = 'download' AND status = 'failed' THEN 'DOWNLOAD FAILED' WHEN stage = 'normalize' AND status = 'needs_review' THEN 'NEEDS REVIEW' WHEN stage = 'normalize' AND status = 'failed' THEN 'NORMALIZE ERROR' WHEN stage = 'load' AND status = 'ok' THEN 'LOADED' WHEN stage = 'load' AND status = 'partial' THEN 'LOAD PARTIAL' WHEN stage = 'load' AND status = 'conn_error' THEN 'LOAD ERROR' ELSE 'OK' END AS label FROM (SELECT DISTINCT stage, {_STATUS_SQL} AS status FROM {values_sql(_CODES, 'stage, code')})")
+@query(
+    "type_label",
+    f"""WITH {_RUNS_SQL}, w AS (SELECT c_custkey, max(CASE WHEN stage = 'download' THEN status END) AS d, max(CASE WHEN stage = 'normalize' THEN status END) AS n, max(CASE WHEN stage = 'load' THEN status END) AS l FROM s GROUP BY c_custkey)
+    SELECT c_custkey, CASE WHEN d = 'failed' THEN 'DOWNLOAD FAILED' WHEN n = 'needs_review' THEN 'NEEDS REVIEW' WHEN n = 'failed' THEN 'NORMALIZE ERROR' WHEN l = 'ok' THEN 'LOADED' WHEN l = 'partial' THEN 'LOAD PARTIAL' WHEN l = 'conn_error' THEN 'LOAD ERROR' ELSE 'OK' END AS label FROM w""",
+)
 def type_label(spark, sf_dir):
-    label = F.lit("OK")
-    for stage, status, text in reversed(pipeline.LABELS):
-        label = F.when((F.col("stage") == stage) & (F.col("status") == status), text).otherwise(label)
-    return _codes(spark).select("stage", "status").distinct().withColumn("label", label)
+    return _outcomes(spark, sf_dir).select("c_custkey", pipeline.label_column(F.col("outcomes")).alias("label"))
 
 
-_ANSWERS = [(404, ""), (403, "<Code>AccessDenied</Code>"), (403, "NoSuchKey"), (403, "blocked"), (429, ""), (500, ""), (503, "x"), (400, ""), (301, "")]
+_BODY = "CASE l_returnflag WHEN 'A' THEN '<Code>AccessDenied</Code>' WHEN 'N' THEN 'no such key: NoSuchKey' ELSE 'slow down' END"
 
 
-@query("http_classify", f"SELECT CAST(status AS INTEGER) AS status, body, CASE WHEN status = 404 OR status = 403 AND (contains(lower(body), 'accessdenied') OR contains(lower(body), 'nosuchkey')) THEN 'notfound' WHEN status IN (403, 429) OR status >= 500 THEN 'ratelimit' ELSE 'neterror' END AS result FROM {values_sql(_ANSWERS, 'status, body')}")
+@query("http_classify", f"WITH a AS (SELECT CAST(200 + l_partkey % 500 AS INTEGER) AS status, {_BODY} AS body FROM lineitem) SELECT status, body, CASE WHEN status = 404 OR status = 403 AND (contains(lower(body), 'accessdenied') OR contains(lower(body), 'nosuchkey')) THEN 'notfound' WHEN status IN (403, 429) OR status BETWEEN 500 AND 599 THEN 'ratelimit' ELSE 'neterror' END AS result, count(*) AS n FROM a GROUP BY ALL")
 def http_classify(spark, sf_dir):
-    return spark.createDataFrame(_ANSWERS, "status int, body string").withColumn("result", classify_column(F.col("status"), F.col("body")))
+    answers = read(spark, sf_dir, "lineitem").select(F.expr("CAST(200 + l_partkey % 500 AS INTEGER)").alias("status"), F.expr(_BODY).alias("body"))
+    return answers.withColumn("result", classify_column(F.col("status"), F.col("body"))).groupBy("status", "body", "result").agg(F.count("*").alias("n"))

@@ -114,7 +114,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, http=
         if not (root / "raw").exists():
             print(f"no folder {root / 'raw'}", file=sys.stderr)
             return 1
-        text = drift.report([drift.analyze(session(), raw(t), t, args.verify_data, args.generic) for t in types])
+        text = drift.report(drift.analyze_all(session(), {t: raw(t) for t in types}, args.verify_data, args.generic))
         Path(args.output).write_text(text) if args.output else print(text)
         return 0
     if args.command == "curate":

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import similarity
 from ..functions.types import compatible
+from ..session import scratch
 from ..sources.files import by_period, family, period_column
 from ..sources.footer import read_footers
 from .profile import profile, sample
@@ -16,6 +17,8 @@ from .similarity import score, verified
 
 NAME_THRESHOLD, DATA_THRESHOLD, SURE = 0.7, 0.6, 0.95
 SAMPLE_ROWS = 5000
+#: Files whose names are broadcast rather than shuffled.
+BROADCAST_FILES = 100_000
 
 
 @dataclass(frozen=True)
@@ -58,17 +61,46 @@ def schemas(spark: SparkSession, paths: list[str]) -> DataFrame:
     return rows.select("path", period_column(F.col("path")).alias("period"), F.transform("c", lambda x: F.struct(x["column"].alias("name"), x["dtype"].alias("dtype"))).alias("columns"))
 
 
+def family_schemas(spark: SparkSession, families: dict[str, list[str]]) -> DataFrame:
+    """As ``schemas``, with ``data_type``, for several families in one job; no file belongs to two."""
+    paths = [(p, kind) for kind, own in families.items() for p in own]
+    kinds = spark.createDataFrame(paths, "path string, data_type string")
+    return schemas(spark, [p for p, _ in paths]).join(F.broadcast(kinds) if len(paths) <= BROADCAST_FILES else kinds, "path")
+
+
 def signature(columns: Column) -> Column:
     """Names and types in order, as one text."""
     return F.array_join(F.transform(columns, lambda c: F.concat(c["name"], F.lit(":"), c["dtype"])), ",")
 
 
 def transitions(files: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The files whose signature differs from that of the file before, and the first; ``files`` has period and sig."""
-    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy("period")
+    """The files whose signature differs from that of the file before, and the first; ``files`` has period and sig, and path
+    where a period has several files. One window per family: ``by`` names what tells families apart."""
+    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy("period", *(["path"] if "path" in files.columns else []))
     return files.withColumn("before", F.lag("sig").over(order)).where("before is null or sig <> before").drop("before")
 
 
+def changes(files: DataFrame, by: str = "data_type") -> DataFrame:
+    """Every change of every family, in one job: the family, ``period_from, period_to, path_from, path_to``, and ``added``,
+    ``removed`` and ``retyped`` columns by name. files: by, period, path, columns."""
+    found = transitions(files.withColumn("sig", signature(F.col("columns"))), [by])
+    order = Window.partitionBy(by).orderBy("period", "path")
+    was = lambda c: F.lag(c).over(order)
+    steps = found.select(by, was("period").alias("period_from"), F.col("period").alias("period_to"), was("path").alias("path_from"), F.col("path").alias("path_to"), was("columns").alias("old"), F.col("columns").alias("new")).where("old is not null")
+    lacks = lambda others: lambda c: ~F.exists(others, lambda o: o["name"] == c["name"])
+    type_in = lambda columns, c: F.filter(columns, lambda o: o["name"] == c["name"])[0]["dtype"]
+    changed = F.filter("new", lambda c: F.exists("old", lambda o: (o["name"] == c["name"]) & (o["dtype"] != c["dtype"])))
+    retyped = F.transform(changed, lambda c: F.struct(c["name"].alias("name"), type_in(F.col("old"), c).alias("old_type"), c["dtype"].alias("new_type")))
+    out = steps.select(by, "period_from", "period_to", "path_from", "path_to", F.array_sort(F.filter("new", lacks(F.col("old")))).alias("added"), F.array_sort(F.filter("old", lacks(F.col("new")))).alias("removed"), F.array_sort(retyped).alias("retyped"))
+    return out
+
+
+def column_types(files: DataFrame, by: str = "data_type") -> DataFrame:
+    """``name, types``: the families in which each column ever appears."""
+    each = files.select(by, F.explode("columns").alias("c")).select(F.col("c.name").alias("name"), by).distinct()
+    return each.groupBy("name").agg(F.sort_array(F.collect_list(by)).alias("types"))
+
+
 def schema_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """``name, change, old_type, new_type`` of the columns added, removed and retyped; one full outer join."""
     both = old.select("name", F.col("dtype").alias("old_type")).join(new.select("name", F.col("dtype").alias("new_type")), "name", "full_outer")
@@ -87,6 +119,33 @@ def match_greedily(scored: list[tuple[float, str, str]]) -> list[tuple[float, st
     return out
 
 
+def best_pairs(scored: DataFrame) -> DataFrame:
+    """``old, new, score`` one-to-one, as taking the best pair left again and again would: ties by old and new name.
+
+    In each round every pair that is the best of both its ends is taken, and all pairs with a taken end go; a pair like
+    that would be taken before any other with its ends, so the result is the same. Rounds are few unless scores form a
+    long falling chain, and each halves what is left in the usual case.
+    """
+    spark = scored.sparkSession
+    left = _written(scored.select("old", "new", F.col("score").cast("double").alias("score")).dropDuplicates(["old", "new"]))
+    taken: DataFrame | None = None
+    while not left.isEmpty():
+        order = F.struct((-F.col("score")).alias("s"), F.col("old").alias("o"), F.col("new").alias("n"))
+        firsts = [left.groupBy(end).agg(F.min(order).alias("b")).select("b.o", "b.n", F.lit(1).alias("one")) for end in ("old", "new")]
+        both = firsts[0].unionByName(firsts[1]).groupBy("o", "n").count().where("count = 2")
+        now = _written(left.join(both, (F.col("old") == F.col("o")) & (F.col("new") == F.col("n")), "left_semi"))
+        left = _written(left.join(now.select("old"), "old", "left_anti").join(now.select("new"), "new", "left_anti"))
+        taken = now if taken is None else taken.unionByName(now)
+    return taken if taken is not None else spark.createDataFrame([], "old string, new string, score double")
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """Written once into the shared folder: a round is not computed again in the next."""
+    folder = scratch(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def name_scores(spark: SparkSession, removed: list[tuple[str, str]], added: list[tuple[str, str]]) -> DataFrame:
     """``old, new, score`` for every pair of removed and added columns; schemas are small, so are the pairs."""
     pairs = [(o, ot, n, nt) for o, ot in removed for n, nt in added]
@@ -132,33 +191,38 @@ def verify_renames(spark, renames: list[Rename], old_path, new_path, size: int |
     return [r if r.confidence >= SURE else Rename(r.old, r.new, r.confidence, found.get((r.old, r.new)), r.old_type, r.new_type) for r in renames]
 
 
-def compare(old: list[tuple[str, str]], new: list[tuple[str, str]]):
-    """Added, removed and retyped columns of two schemas, by name."""
-    before, after = dict(old), dict(new)
-    added = sorted((n, t) for n, t in after.items() if n not in before)
-    removed = sorted((n, t) for n, t in before.items() if n not in after)
-    retyped = sorted((n, before[n], t) for n, t in after.items() if n in before and before[n] != t)
-    return added, removed, retyped
-
-
 def analyze(spark: SparkSession, folder: str, data_type: str, verify_data: bool = False, generic: bool = False, size: int | str = SAMPLE_ROWS) -> Analysis:
-    """Footers of every file, then data only of the files at a transition and only of the columns that came or went."""
-    paths = by_period(family(spark, folder, data_type))
-    if not paths:
-        return Analysis(data_type, 0, [], [], generic)
-    found = transitions(schemas(spark, paths).withColumn("sig", signature(F.col("columns")))).orderBy("period").collect()
-    steps = [(r["period"], r["path"], [(c["name"], c["dtype"]) for c in r["columns"]]) for r in found]
-    changes = []
-    for (p0, f0, old), (p1, f1, new) in zip(steps, steps[1:], strict=False):
-        added, removed, retyped = compare(old, new)
-        renames = renames_by_data(spark, removed, added, f0, f1, size=size) if generic else renames_by_name(spark, removed, added)
-        if verify_data and not generic:
-            renames = [r for r in verify_renames(spark, renames, f0, f1, size) if r.data_verified is not False]
-        gone, come = {r.old for r in renames}, {r.new for r in renames}
-        change = Change(p0, p1, f0, f1, [c for c in added if c[0] not in come], [c for c in removed if c[0] not in gone], retyped, renames)
-        if change.any():
-            changes.append(change)
-    return Analysis(data_type, len(paths), steps, changes, generic)
+    """One family: as ``analyze_all``."""
+    return analyze_all(spark, {data_type: folder}, verify_data, generic, size)[0]
+
+
+def analyze_all(spark: SparkSession, folders: dict[str, str], verify_data: bool = False, generic: bool = False, size: int | str = SAMPLE_ROWS) -> list[Analysis]:
+    """Footers of every file of every family in one job, then data only of the files at a transition and only of the columns
+    that came or went. Only transitions reach the driver."""
+    paths = {kind: by_period(family(spark, folder, kind)) for kind, folder in folders.items()}
+    known = {kind: own for kind, own in paths.items() if own}
+    steps: dict[str, list] = {kind: [] for kind in folders}
+    found: dict[str, list] = {kind: [] for kind in folders}
+    if known:
+        files = _written(family_schemas(spark, known))
+        for r in transitions(files.withColumn("sig", signature(F.col("columns"))), ["data_type"]).orderBy("data_type", "period", "path").collect():
+            steps[r["data_type"]].append((r["period"], r["path"], [(c["name"], c["dtype"]) for c in r["columns"]]))
+        for r in changes(files).orderBy("data_type", "period_to", "path_to").collect():
+            found[r["data_type"]].append(r)
+    out = []
+    for kind in folders:
+        made = []
+        for r in found[kind]:
+            added, removed, retyped = ([tuple(c) for c in r[name]] for name in ("added", "removed", "retyped"))
+            renames = renames_by_data(spark, removed, added, r["path_from"], r["path_to"], size=size) if generic else renames_by_name(spark, removed, added)
+            if verify_data and not generic:
+                renames = [x for x in verify_renames(spark, renames, r["path_from"], r["path_to"], size) if x.data_verified is not False]
+            gone, come = {x.old for x in renames}, {x.new for x in renames}
+            change = Change(r["period_from"], r["period_to"], r["path_from"], r["path_to"], [c for c in added if c[0] not in come], [c for c in removed if c[0] not in gone], retyped, renames)
+            if change.any():
+                made.append(change)
+        out.append(Analysis(kind, len(paths[kind]), steps[kind], made, generic))
+    return out
 
 
 def summarize(change: Change) -> str:

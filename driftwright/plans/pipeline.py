@@ -71,6 +71,19 @@ def label(outcomes: list[Outcome]) -> str:
     return next((text for stage, status, text in LABELS if by.get(stage) == status), "OK" if outcomes else "SKIPPED")
 
 
+def exit_column(status: Column) -> Column:
+    """As ``exit_code``: an aggregate over a column of statuses."""
+    return F.coalesce(F.max(F.when(status.isin(FAILED, PARTIAL, CONN_ERROR), 2).when(status == NEEDS_REVIEW, 1).otherwise(0)), F.lit(0))
+
+
+def label_column(outcomes: Column) -> Column:
+    """As ``label``, over an array of (stage, status)."""
+    out = F.when(F.size(outcomes) > 0, "OK").otherwise("SKIPPED")
+    for stage, status, text in reversed(LABELS):
+        out = F.when(F.array_contains(F.transform(outcomes, lambda o: F.concat_ws("|", o["stage"], o["status"])), f"{stage}|{status}"), text).otherwise(out)
+    return out
+
+
 def summary(runs: dict[str, list[Outcome]]) -> str:
     """A table of the types' stages and outcomes."""
     lines = [f"{'type':<8} {DOWNLOAD:<12} {NORMALIZE:<14} {LOAD:<12} outcome"]

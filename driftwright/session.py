@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -38,3 +41,22 @@ def ship(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
     context.addPyFile(str(archive))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share: under ``spark.checkpoint.dir``; a temporary one where that is unset and all is
+    one machine. It goes when the driver ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"{(root or 'file://' + tempfile.mkdtemp(prefix='driftwright-')).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone at exit
+        return

@@ -45,12 +45,16 @@ def list_parquet(spark: SparkSession, folder: str) -> list[str]:
 
 
 def period(path: str) -> str:
-    """The last part of a file's stem: of ``x_2024-01.parquet`` it is ``2024-01``."""
+    """The month of the file's partition folders as ``2024-01``, else the last part of its stem: of ``x_2024-01.parquet`` the same."""
+    if found := FOLDER_MONTH.search(path):
+        return f"{found[1]}-{int(found[2]):02d}"
     return path.rsplit("/", 1)[-1].removesuffix(".parquet").rsplit("_", 1)[-1]
 
 
 def period_column(path: Column) -> Column:
-    return F.regexp_extract(path, PERIOD, 1)
+    """As ``period``, over a column; empty where a name has no last part."""
+    year, month = (F.regexp_extract(path, FOLDER_MONTH.pattern, k) for k in (1, 2))
+    return F.when(year != "", F.concat(year, F.lit("-"), F.lpad(month, 2, "0"))).otherwise(F.regexp_extract(path, PERIOD, 1))
 
 
 def family(spark: SparkSession, folder: str, data_type: str) -> list[str]:

@@ -78,15 +78,30 @@ def _name(field) -> str:
     return simple.get(str(kind), str(kind).upper())
 
 
+def _leaves(kind) -> int:
+    """Leaf columns of an Arrow type."""
+    import pyarrow.types as at
+
+    if at.is_struct(kind):
+        return sum(_leaves(kind.field(k).type) for k in range(kind.num_fields))
+    if at.is_map(kind):
+        return _leaves(kind.key_type) + _leaves(kind.item_type)
+    if at.is_list(kind) or at.is_large_list(kind) or at.is_fixed_size_list(kind):
+        return _leaves(kind.value_type)
+    return 1
+
+
 def footer_rows(path: str) -> Iterator[tuple]:
     """One tuple per leaf column, its row groups folded together; bounds of a kind of value each."""
     import pyarrow.types as at
 
     file = _open(path)
     meta, arrow = file.metadata, file.schema_arrow
-    roots = {name: k for k, name in enumerate(arrow.names)}
+    # leaves are stored in the order of their roots; names cannot tell, since they may hold dots
+    roots = [k for k, field in enumerate(arrow) for _ in range(_leaves(field.type))]
     for leaf in range(meta.num_columns):
-        root = meta.schema.column(leaf).path.split(".")[0]
+        place = roots[leaf]
+        root = arrow.names[place]
         low = high = None
         values = nulls = silent = 0
         for group in range(meta.num_row_groups):
@@ -102,9 +117,9 @@ def footer_rows(path: str) -> Iterator[tuple]:
             else:
                 low = stats.min if low is None else min(low, stats.min)
                 high = stats.max if high is None else max(high, stats.max)
-        if silent and isinstance(low, int) and at.is_integer(arrow.field(roots[root]).type):
+        if silent and isinstance(low, int) and at.is_integer(arrow.field(place).type):
             # a row group with values does not say which: any of the column's type
-            kind = arrow.field(roots[root]).type
+            kind = arrow.field(place).type
             signed = at.is_signed_integer(kind)
             low, high = (1 - (1 << kind.bit_width - 1) if signed else 0), min(1 << kind.bit_width - signed, 1 << 63) - 1
 
@@ -114,7 +129,7 @@ def footer_rows(path: str) -> Iterator[tuple]:
         whole = lambda v: as_kind(v, int, int) if v is None or abs(as_kind(v, int, int) or 0) < 2**63 else None
         real = lambda v: None if v is None or isinstance(v, (bool, int, str, bytes)) else (float(v) if hasattr(v, "__float__") else None)
         text = lambda v: None if v is None or whole(v) is not None or real(v) is not None else v.decode("utf-8", "replace") if isinstance(v, bytes) else str(v)
-        yield (path, roots[root], root, _name(arrow.field(roots[root])), meta.num_rows, values, nulls, whole(low), whole(high), real(low), real(high), text(low), text(high), None)
+        yield (path, place, root, _name(arrow.field(place)), meta.num_rows, values, nulls, whole(low), whole(high), real(low), real(high), text(low), text(high), None)
 
 
 def read_footers(spark: SparkSession, paths: list[str]) -> DataFrame:
