@@ -80,7 +80,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, http=
 
     def fetch(name: str) -> int:
         own, extra = http or download.Http(), {"sleep": sleep} if sleep else {}
-        drop_corrupt(str(root / "raw" / name))
+        drop_corrupt(raw(name), session())
         walk = download.recent(own, name, root / "raw", args.recent, today, **extra) if args.recent else download.full(own, name, root / "raw", today, **extra)
         print(f"{name}: {walk.downloaded} downloaded, {walk.gave_up} given up")
         return 2 if walk.gave_up and not walk.downloaded else 0

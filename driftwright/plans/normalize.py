@@ -5,14 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import scratch
 from ..sources.files import family, list_parquet, month_of
 from ..sources.footer import file_stats, read_footers
-from .bootstrap import bootstrap
-from .mapping import MappingError, load
-from .planner import first_details, plan_file
-from .transform import write, write_file
+from .bootstrap import bootstrap, claims
+from .mapping import Mapping, MappingError, load
+from .planner import Plan, first_details, plan_file
+from .transform import group_by_plan, write, write_file
+
+
+def plan_family(footers: DataFrame, pinned: str, mapping: Mapping) -> list[tuple[Plan, list[str]]]:
+    """The plans of a family with the files of each, by first file.
+
+    What a plan depends on is decided per column in the engine (``claims``): its type, the target column it goes to,
+    whether its bounds fit there, and whether values would be lost. Files whose columns all agree in that have one
+    fingerprint, hence one plan, which is made from the footer of the first of them. The driver sees a row per
+    fingerprint, however many files there are, and the names of the files.
+    """
+    target = footers.where((F.col("path") == pinned) & F.col("error").isNull())
+    wanted = target.select(F.col("column").alias("name"), F.col("dtype").alias("wanted"))
+    fate = F.struct("ordinal", "column", "dtype", "goes_to", "out", "unsafe", "lost")
+    places = footers.where("error is null").select("path", "column", "ordinal")
+    decided = claims(footers, wanted, mapping.renames).join(places, ["path", "column"])
+    prints = decided.groupBy("path").agg(F.md5(F.to_json(F.sort_array(F.collect_list(fate))).cast("binary")).alias("print"))
+    groups = prints.groupBy("print").agg(F.sort_array(F.collect_list("path")).alias("paths")).select(F.col("paths")[0].alias("first"), "paths").orderBy("first").collect()
+    firsts = [r["first"] for r in groups]
+    stats = file_stats(footers.where(F.col("path").isin([*firsts, pinned])))
+    plans = {r["first"]: plan_file(stats[r["first"]], stats[pinned], mapping) for r in groups}
+    paths = {r["first"]: r["paths"] for r in groups}
+    return [(plan, [p for first in same for p in paths[first]]) for plan, same in group_by_plan(plans)]
 
 
 def normalize(spark: SparkSession, data_type: str, raw: str, mapping_path: str, out: str, sample: str = "100%", one_file: bool = False, say: Callable[[str], None] = print) -> int:
@@ -34,20 +58,23 @@ def normalize(spark: SparkSession, data_type: str, raw: str, mapping_path: str,
     except MappingError as problem:
         say(str(problem))
         return 2
-    stats = file_stats(read_footers(spark, paths))
-    pinned = next((p for p in paths if p.rsplit("/", 1)[-1] == mapping.target and p in stats), None)
-    if pinned is None:
+    folder = scratch(spark)
+    read_footers(spark, paths).write.parquet(folder)  # read by all that follows
+    footers = spark.read.parquet(folder)
+    pinned = next((p for p in paths if p.rsplit("/", 1)[-1] == mapping.target), None)
+    if pinned is None or footers.where((F.col("path") == pinned) & F.col("error").isNull()).isEmpty():
         say(f"{data_type}: the pinned file {mapping.target} is not under {raw}")
         return 2
-    plans = {p: plan_file(stats[p], stats[pinned], mapping) for p in paths if p in stats}
-    if items := first_details(list(plans.values())):
+    groups = plan_family(footers, pinned, mapping)
+    if items := first_details([plan for plan, _ in groups]):
         bootstrap(spark, raw, data_type, mapping_path, sample)
         for item in items:
             say(f"{data_type}: {item.kind}: {item.column}: {item.details}")
         return 1
-    for plan in plans.values():
+    for plan, _ in groups:
         for line in dict.fromkeys(plan.warnings):
             say(f"{data_type}: {line}")
+    plans = {p: plan for plan, own in groups for p in own}
     there = list_parquet(spark, out)
     if one_file:
         names = {p.rsplit("/", 1)[-1] for p in there}

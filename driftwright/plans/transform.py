@@ -43,10 +43,11 @@ def apply(df: DataFrame, plan: Plan) -> DataFrame:
 
 
 def group_by_plan(plans: dict[str, Plan]) -> list[tuple[Plan, list[str]]]:
-    """Files whose plans are the same; equal plans mean equal source types, so one reader schema serves all."""
+    """Files whose plans are the same; equal plans mean equal source types, so one reader schema serves all. Files with open
+    items stay apart from those without."""
     groups: dict[tuple, list[str]] = {}
     for path, plan in plans.items():
-        groups.setdefault(tuple(plan.actions), []).append(path)
+        groups.setdefault((tuple(plan.actions), tuple(plan.unresolved), tuple(plan.warnings)), []).append(path)
     return [(plans[paths[0]], sorted(paths)) for paths in groups.values()]
 
 

@@ -105,11 +105,15 @@ def is_parquet(path: str) -> bool:
         return False
 
 
-def drop_corrupt(folder: str) -> int:
-    """Delete local files that are no parquet; how many there were."""
-    from pathlib import Path
-
-    bad = [p for p in Path(folder).rglob("*.parquet") if not is_parquet(str(p))] if Path(folder).exists() else []
-    for p in bad:
-        p.unlink()
+def drop_corrupt(folder: str, spark: SparkSession | None = None) -> int:
+    """Delete what is named as parquet under a folder, on any file system, and is none; how many there were. Files that
+    cannot be read stay."""
+    from .footer import read_marks
+
+    session = spark or SparkSession.builder.getOrCreate()
+    paths = list_parquet(session, folder)
+    bad = [r["path"] for r in read_marks(session, paths).where("not valid").toLocalIterator()] if paths else []
+    for path in bad:
+        target = session._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(session._jsc.hadoopConfiguration()).delete(target, False)
     return len(bad)

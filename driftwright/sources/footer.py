@@ -55,6 +55,45 @@ class FooterSource(DataSource):
         return FooterReader(json.loads(self.options["paths"]))
 
 
+class MarkReader(FooterReader):
+    """Size of each file, and whether both ends bear the format's mark: eight bytes are read of a file."""
+
+    def read(self, partition: FooterPartition) -> Iterator[tuple]:
+        import pyarrow.fs as fs
+
+        for path in partition.paths:
+            try:
+                local = urlparse(path).scheme in ("", "file")
+                system, inner = (fs.LocalFileSystem(), urlparse(path).path if path.startswith("file:") else path) if local else fs.FileSystem.from_uri(path)
+                with system.open_input_file(inner) as data:
+                    size = data.size()
+                    yield (path, size, size >= 8 and data.read_at(4, 0) == b"PAR1" == data.read_at(4, size - 4), None)
+            except Exception as problem:  # noqa: BLE001  a file that cannot be read is a row with its error
+                yield (path, None, None, str(problem))
+
+
+class MarkSource(FooterSource):
+    @classmethod
+    def name(cls) -> str:
+        return "parquet_marks"
+
+    def schema(self) -> str:
+        return "path string, size bigint, valid boolean, error string"
+
+    def reader(self, schema) -> MarkReader:
+        return MarkReader(json.loads(self.options["paths"]))
+
+
+def read_marks(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, size, valid, error`` of files on any file system; files are dealt to tasks, which read their ends only.
+
+    A file that could not be read is neither valid nor invalid: valid is null.
+    """
+    ship(spark)
+    spark.dataSource.register(MarkSource)
+    return spark.read.format("parquet_marks").option("paths", json.dumps(paths)).load()
+
+
 def _open(path: str):
     import pyarrow.fs as fs
     import pyarrow.parquet as pq

@@ -110,7 +110,7 @@ def test_footers_of_nested_and_dotted_columns(spark, tmp_path):
     from driftwright.sources.footer import read_footers
 
     rows = [(1, {"x": 1}, [(1, "a"), (2, "b")], 5, ([1, 2], 3))]
-    spark.createDataFrame(rows, "`a.b` int, m map<string,int>, l array<struct<p:int,q:string>>, `a.c` bigint, s struct<v:array<int>,`w.w`:int>").write.parquet(f"{tmp_path}/x")
+    spark.createDataFrame(rows, "`a.b` int, m map<string,int>, l array<struct<p:int,q:string>>, `a.c` bigint, s struct<v:array<int>,`w.w`:int>").coalesce(1).write.parquet(f"{tmp_path}/x")
     (path,) = expand(spark, [f"{tmp_path}/x"])
     found = {r["column"]: r for r in read_footers(spark, [path]).collect()}
     assert set(found) == {"a.b", "m", "l", "a.c", "s"} and not any(r.error for r in found.values())
