@@ -23,13 +23,12 @@ from .operators import drift, load
 from .operators.database import JdbcSink, typed
 from .operators.profile import precision_loss as count_lossy
 from .operators.profile import profile, sample
-from .operators.similarity import score, verified
 from .plans import pipeline
 from .plans.mapping import Mapping
 from .plans.planner import Action, Plan, plan_file
 from .plans.transform import apply, compile_action
 from .session import configure, scratch
-from .sources.download import classify_column
+from .sources.download import classify_column, pending
 from .sources.files import list_parquet, month_files
 from .sources.footer import family_stats, file_stats, read_footers
 from .sources.union import scan
@@ -351,18 +350,17 @@ _VERIFIED = """(CASE WHEN dn < 0.1 THEN 1 ELSE 0 END + CASE WHEN dk < 0.5 THEN 1
 def _pairs(spark, sf_dir):
     profiled = profile(read(spark, sf_dir, "lineitem"), _PAIRED)
     found = spark.createDataFrame(profiled.collect(), profiled.schema)  # a row per column; both sides of the join need it
-    a, b = found.select(F.struct("*").alias("a")), found.select(F.struct("*").alias("b"))
-    return a.join(b, F.col("a.column") < F.col("b.column"))
+    return drift.profile_pairs(found, found).where("old < new").select(F.col("old").alias("a"), F.col("new").alias("b"), F.round("score", 6).alias("score"), "verified")
 
 
 @query("similarity_score", f"{_MEASURES} SELECT a, b, {_SCORE} AS score FROM m")
 def similarity_score(spark, sf_dir):
-    return _pairs(spark, sf_dir).select(F.col("a.column").alias("a"), F.col("b.column").alias("b"), F.round(score(F.col("a"), F.col("b")), 6).alias("score"))
+    return _pairs(spark, sf_dir).drop("verified")
 
 
 @query("verify_score", f"{_MEASURES} SELECT a, b, {_VERIFIED} AS verified FROM m")
 def verify_score(spark, sf_dir):
-    return _pairs(spark, sf_dir).select(F.col("a.column").alias("a"), F.col("b.column").alias("b"), verified(F.col("a"), F.col("b")).alias("verified"))
+    return _pairs(spark, sf_dir).drop("score")
 
 
 _SAMPLED = "md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|' || CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR))"
@@ -543,9 +541,13 @@ _MANIFEST_SQL = """SELECT year, month, CASE WHEN year = 1994 AND month = 3 THEN
     UNION ALL SELECT 1993, 13, 5"""
 
 
-def _months(spark, sf_dir):
+def _manifest(spark, sf_dir):
+    """The months of line items, and a manifest that differs from them in a few."""
     items = read(spark, sf_dir, "lineitem")
-    return items.groupBy(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).agg(F.count("*").alias("rows"))
+    disk = items.groupBy(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).agg(F.count("*").alias("rows"))
+    changed = F.when((F.col("year") == 1994) & (F.col("month") == 3), F.col("rows") + 1).otherwise(F.col("rows"))
+    manifest = disk.where(~((F.col("year") == 1995) & (F.col("month") >= 11)) & (F.col("year") != 1996)).select("year", "month", changed.alias("row_count"))
+    return disk, manifest.union(spark.createDataFrame([(1993, 13, 5)], "year int, month int, row_count bigint"))
 
 
 @query(
@@ -558,10 +560,7 @@ def _months(spark, sf_dir):
     CASE WHEN coalesce(n, 0) <> loaded OR gone OR changed THEN coalesce(present, '') WHEN fresh > 0 THEN fresh_months ELSE '' END AS months FROM y LEFT JOIN counts c ON y.year = c.year""",
 )
 def reconcile_plan(spark, sf_dir):
-    disk = _months(spark, sf_dir)
-    changed = F.when((F.col("year") == 1994) & (F.col("month") == 3), F.col("rows") + 1).otherwise(F.col("rows"))
-    manifest = disk.where(~((F.col("year") == 1995) & (F.col("month") >= 11)) & (F.col("year") != 1996)).select("year", "month", changed.alias("row_count"))
-    manifest = manifest.union(spark.createDataFrame([(1993, 13, 5)], "year int, month int, row_count bigint"))
+    disk, manifest = _manifest(spark, sf_dir)
     counts = manifest.groupBy("year").agg((F.sum("row_count") + F.when(F.col("year") == 1997, 1).otherwise(0)).alias("table_rows"))
     return load.reconcile(disk, manifest, counts).withColumn("months", F.array_join("months", ","))
 
@@ -573,10 +572,7 @@ def reconcile_plan(spark, sf_dir):
     SELECT CAST(extract(year FROM m) AS INTEGER) AS year, CAST(extract(month FROM m) AS INTEGER) AS month FROM every WHERE m NOT IN (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders)""",
 )
 def pending_months(spark, sf_dir):
-    orders = read(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "month").alias("m"))
-    span = orders.agg(F.add_months(F.min("m"), -2).alias("a"), F.add_months(F.max("m"), 2).alias("b"))
-    every = span.select(F.explode(F.expr("sequence(a, b, interval 1 month)")).alias("m"))
-    return every.join(orders.distinct(), "m", "left_anti").select(F.year("m").alias("year"), F.month("m").alias("month"))
+    return pending(read(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("day")), 2, 2)
 
 
 @query("year_table_counts", "SELECT 'orders_' || CAST(extract(year FROM o_orderdate) AS VARCHAR) AS table_name, count(*) AS n FROM orders GROUP BY 1")
@@ -586,11 +582,8 @@ def year_table_counts(spark, sf_dir):
 
 @query("manifest_integrity", f"WITH disk AS ({_DISK_SQL}), manifest AS ({_MANIFEST_SQL}) SELECT coalesce(d.year, m.year) AS year, coalesce(d.month, m.month) AS month, coalesce(rows = row_count, false) AS intact FROM disk d FULL JOIN manifest m ON d.year = m.year AND d.month = m.month")
 def manifest_integrity(spark, sf_dir):
-    disk = _months(spark, sf_dir)
-    changed = F.when((F.col("year") == 1994) & (F.col("month") == 3), F.col("rows") + 1).otherwise(F.col("rows"))
-    manifest = disk.where(~((F.col("year") == 1995) & (F.col("month") >= 11)) & (F.col("year") != 1996)).select("year", "month", changed.alias("row_count"))
-    manifest = manifest.union(spark.createDataFrame([(1993, 13, 5)], "year int, month int, row_count bigint"))
-    return disk.join(manifest, ["year", "month"], "full_outer").select("year", "month", F.coalesce(F.col("rows") == F.col("row_count"), F.lit(False)).alias("intact"))
+    disk, manifest = _manifest(spark, sf_dir)
+    return load.compare_months(disk, manifest).select("year", "month", "intact")
 
 
 # -- orchestration -----------------------------------------------------------------------------------------------

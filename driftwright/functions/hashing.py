@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .columns import column
+
 
 def row_hash(keys: list[str], seed: int | None = None) -> Column:
     """The md5, in hexadecimal, of the keys as text, after the seed if there is one. Nulls are empty texts."""
-    parts = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys]
+    parts = [F.coalesce(column(k).cast("string"), F.lit("")) for k in keys]
     return F.md5(F.concat_ws("|", *([F.lit(str(seed))] if seed is not None else []), *parts).cast("binary"))
 
 

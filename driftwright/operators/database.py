@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import column
 from ..functions.types import TypeMappingError, sql_name, target_type
 from .load import FLUSH_ROWS, MANIFEST, Connection, LoaderConfigError, LoaderConnectionError, LoaderError, create_table_sql, identifier, manifest_sql, year_table
 
@@ -302,9 +303,9 @@ class JdbcSink:
                 options |= {"partitionColumn": own, "lowerBound": low.strip(), "upperBound": high.strip(), "numPartitions": str(self.connections)}
         # times without a zone are no partition columns: they are read in the session's zone and lose it again
         found = self.spark.read.format("jdbc").options(**options).load()
-        return found.select(*(F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`") for f in found.schema.fields))
+        return found.select(*(column(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else column(f.name) for f in found.schema.fields))
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns as they were before the database: types that it has no match for come back as others."""
-    return df.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields))
+    return df.select(*(column(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))

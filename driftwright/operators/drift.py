@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import quoted
 from ..functions.names import similarity
 from ..functions.types import compatible
 from ..session import scratch
@@ -166,9 +167,14 @@ def data_pairs(spark: SparkSession, removed, added, old_path: str, new_path: str
     """``old, new, score, verified`` of the type-compatible pairs, from one profile of each file's sample."""
     sides = []
     for path, columns in ((old_path, removed), (new_path, added)):
-        names = [c for c, _ in columns]
-        sides.append(profile(sample(spark.read.parquet(path).select(*(f"`{c}`" for c in names)), size), names))
-    a, b = (side.select(F.struct("*").alias(label)) for side, label in zip(sides, "ab", strict=True))
+        names = list(dict.fromkeys(c for c, _ in columns))
+        sides.append(profile(sample(spark.read.parquet(path).select(*(quoted(c) for c in names)), size), names))
+    return profile_pairs(*sides).select("old", "new", "score", "verified")
+
+
+def profile_pairs(olds: DataFrame, news: DataFrame) -> DataFrame:
+    """``old, new, score, verified`` of the type-compatible pairs of profiled columns; a profile has a row per column."""
+    a, b = olds.select(F.struct("*").alias("a")), news.select(F.struct("*").alias("b"))
     pairs = a.join(b, compatible(F.col("a.dtype"), F.col("b.dtype")))
     return pairs.select(F.col("a.column").alias("old"), F.col("b.column").alias("new"), score(F.col("a"), F.col("b")).alias("score"), verified(F.col("a"), F.col("b")).alias("verified"))
 

@@ -51,6 +51,12 @@ def year_table(data_type: str, year: int) -> str:
     return identifier(f"{data_type}_{year}")
 
 
+def compare_months(disk: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``year, month, on_disk, loaded, intact``: every month of either side, and whether both have it with equal rows."""
+    both = disk.select("year", "month", F.col("rows").alias("on_disk")).join(manifest.select("year", "month", F.col("row_count").alias("loaded")), ["year", "month"], "full_outer")
+    return both.withColumn("intact", F.coalesce(F.col("on_disk") == F.col("loaded"), F.lit(False)))
+
+
 def reconcile(disk: DataFrame, manifest: DataFrame, counts: DataFrame, full_refresh: bool = False) -> DataFrame:
     """``year, action, months`` per year.
 
@@ -58,8 +64,7 @@ def reconcile(disk: DataFrame, manifest: DataFrame, counts: DataFrame, full_refr
     A year is reloaded where the table disagrees with the manifest, or a loaded month is gone or changed; new
     months alone are appended; else it is skipped. One full outer join on (year, month), one aggregation by year.
     """
-    both = disk.select("year", "month", F.col("rows").alias("on_disk")).join(manifest.select("year", "month", F.col("row_count").alias("loaded")), ["year", "month"], "full_outer")
-    years = both.groupBy("year").agg(
+    years = compare_months(disk, manifest).groupBy("year").agg(
         F.coalesce(F.sum("loaded"), F.lit(0)).alias("manifest_rows"), F.bool_or(F.col("on_disk").isNull()).alias("vanished"),
         F.bool_or(F.coalesce(F.col("on_disk") != F.col("loaded"), F.lit(False))).alias("changed"),
         F.sort_array(F.collect_list(F.when(F.col("loaded").isNull(), F.col("month")))).alias("fresh"), F.sort_array(F.collect_list(F.when(F.col("on_disk").isNotNull(), F.col("month")))).alias("present"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import loses_precision
+from ..functions.columns import column as quoted_column
 from ..functions.hashing import least_hash, row_hash
 from ..functions.types import sql_name
 
@@ -42,11 +43,11 @@ def sample(df: DataFrame, size: int | str, keys: list[str] | None = None) -> Dat
 def as_number(name: str, kind: T.DataType) -> Column | None:
     """The column as a double where its type has numbers in it, else None: dates and nested values have none."""
     if isinstance(kind, T.NumericType):
-        return F.col(f"`{name}`").cast("double")
+        return quoted_column(name).cast("double")
     if isinstance(kind, T.BooleanType):
-        return F.col(f"`{name}`").cast("int").cast("double")
+        return quoted_column(name).cast("int").cast("double")
     if isinstance(kind, T.StringType):
-        value = F.trim(F.col(f"`{name}`"))
+        value = F.trim(quoted_column(name))
         return F.when(~value.rlike(r"(?i)[df]$") | value.rlike(r"(?i)inf$"), value.try_cast("double"))
     return None
 
@@ -59,7 +60,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     kinds, cells = {f.name: f.dataType for f in df.schema.fields}, []
     for place, name in enumerate(columns):
-        own, kind = F.col(f"`{name}`"), kinds[name]
+        own, kind = quoted_column(name), kinds[name]
         if isinstance(kind, (T.FloatType, T.DoubleType)):
             own = own + F.lit(0.0).cast(kind)  # zero and minus zero are one value
         number = as_number(name, kind)
@@ -105,4 +106,4 @@ def top_values(df: DataFrame, columns: list[str], k: int = TOP) -> DataFrame:
 
 def precision_loss(df: DataFrame, column: str, target: str) -> DataFrame:
     """``lossy_rows``: how many values an integer cast would change; never sampled."""
-    return df.agg(F.count_if(loses_precision(F.col(f"`{column}`"), target)).alias("lossy_rows"))
+    return df.agg(F.count_if(loses_precision(quoted_column(column), target)).alias("lossy_rows"))

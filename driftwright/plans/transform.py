@@ -3,25 +3,23 @@
 from __future__ import annotations
 
 import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import exact_cast
+from ..functions.columns import column
 from ..functions.types import spark_type
 from ..sources.files import NAMED_MONTH
 from .planner import Action, Plan
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def compile_action(action: Action) -> Column:
     """One column of the output."""
     kind = spark_type(action.target_type)
     if action.kind == "null_fill":
         return F.lit(None).cast(kind).alias(action.target)
-    source = F.col(quoted(action.source))
+    source = column(action.source)
     if action.kind == "value_map":
         text = source.cast("string")
         if action.on_unmapped == "error":

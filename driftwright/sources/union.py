@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import exact_cast
+from ..functions.columns import column
 from ..functions.types import INTEGER_BITS, family, spark_type
 from .files import list_parquet
 from .footer import read_footers
@@ -69,7 +70,7 @@ def scan(spark: SparkSession, patterns: list[str]) -> DataFrame:
     parts = []
     for columns, own in known:
         df, held = spark.read.parquet(*own), dict(columns)
-        kept = [F.col(f"`{n}`").alias(n) if held[n] == types[n] else exact_cast(F.col(f"`{n}`"), held[n], types[n]).alias(n) for n in held]
+        kept = [column(n).alias(n) if held[n] == types[n] else exact_cast(column(n), held[n], types[n]).alias(n) for n in held]
         missing = [F.lit(None).cast(spark_type(types[n])).alias(n) for n in types if n not in held]
-        parts.append(df.select(*kept, *missing).select(*(f"`{n}`" for n in types)))
+        parts.append(df.select(*kept, *missing).select(*(column(n) for n in types)))
     return reduce(DataFrame.unionByName, parts)

@@ -90,3 +90,17 @@ def test_the_stream_reads_new_footers_only(spark, tmp_path, monkeypatch):
     put("2024-02", 1)
     turn()
     assert read == [5, 2, 1] and sink.counts("yellow") == {2023: 20, 2024: 3}
+
+
+def test_renames_are_held_against_the_data(spark, tmp_path):
+    from driftwright.operators import drift
+
+    configure(spark)
+    old, new = f"{tmp_path}/raw/x_tripdata_2023-01.parquet", f"{tmp_path}/raw/x_tripdata_2023-02.parquet"
+    spark.range(200).selectExpr("id as `trip``dist`", "id * 1.5 as fare_amt", "id as tip_amt").coalesce(1).write.parquet(old)
+    spark.range(200).selectExpr("id as `trip``distance`", "id * 1.5 as fare_amount", "'x' || id as tip_amount").coalesce(1).write.parquet(new)
+    sure = drift.Rename("a", "b", 0.99)
+    open_ = [drift.Rename("trip`dist", "trip`distance", 0.8, None, "BIGINT", "BIGINT"), drift.Rename("fare_amt", "fare_amount", 0.8, None, "DOUBLE", "DOUBLE"), drift.Rename("fare_amt", "trip`distance", 0.7, None, "DOUBLE", "BIGINT"), drift.Rename("tip_amt", "tip_amount", 0.7, None, "BIGINT", "VARCHAR")]
+    found = drift.verify_renames(spark, [sure, *open_], old, new)
+    assert found[0] == sure and [r.data_verified for r in found[1:3]] == [True, True] and found[4].data_verified is None
+    assert drift.verify_renames(spark, [sure], old, new) == [sure]
