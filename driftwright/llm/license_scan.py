@@ -1,17 +1,22 @@
 """License scans by sentence rules, with DataFrame functions only.
 
 A text is cut into sentences, each is normalised, and known licence sentences become identifiers (with the version
-they name). The identifiers of a text, in order, are then matched against ordered licence rules: a rule that
-matches a run of identifiers yields its licence and takes them out, so longer, more particular rules come first.
-Sentences that speak of licensing but match nothing known make the text ``UNKNOWN``. One pass, no shuffle.
-
-Defined results: null and empty texts have no licence; a licence that is named twice is listed once, in order of
-first rule; repeated rows give repeated rows; an empty table gives an empty table; sentences of any length are
-read whole. Of the input only the key columns are kept.
+they name and their place). Sentences of a licence's own text are known by their words. A sentence that names a licence
+is known if nothing but the name and words of such sentences (FILLER) is in it, or if it also says that something is
+licensed (CUES); a name alone in other words is none, nor is one that a sentence denies (DENIES). The identifiers of a
+text, in order, are then matched against ordered licence rules: a rule that matches a run of identifiers yields its
+licence and takes them out, so longer, more particular rules come first. Sentences that speak of licensing but match
+nothing known make the text ``UNKNOWN``. One pass, no shuffle.
+
+Defined results: null and empty texts have no licence; licences are listed in the order in which the text first gives
+them, each once; repeated rows give repeated rows; an empty table gives an empty table; sentences of any length are
+read whole. Of the input only the key columns are kept; columns may have any names.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +53,14 @@ SENTENCES = [
     ("proprietary", r"proprietary and confidential|unauthorized copying of this"),
     ("reserved", r"all rights reserved"),
 ]
+#: Identifiers of sentences that name a licence: other words may hold the same letters.
+NAMES = {"agpl", "lgpl", "gpl", "apache", "mit", "bsd", "mpl", "epl", "cc0", "cc_by_nc_sa", "cc_by_nc_nd", "cc_by_nc", "cc_by_sa", "cc_by_nd", "cc_by"}
+#: Words that a sentence which only names a licence may hold beside the name.
+FILLER = r"^(?:[^\p{L}]+|\b(?:the|an?|this|that|these|its?|is|are|be|was|or|and|of|to|in|on|at|by|for|with|from|as|see|here|file|work|project|software|program|code|library|package|content|text|only|either|any|both|all|also|again|too|your?|our|option|later|versions?|v|licen[cs]e[ds]?|licensing|terms|conditions|details|international|generic|unported|public|domain|expat|clause)\b)*$"
+#: Words that say that something is licensed.
+CUES = r"\b(?:licen[cs]ed?|licen[cs]ing|sublicensed?|relicensed|released|(?:re)?distributed?|available|published|covered|governed|provided|offered|shared|permitted|granted|compliance|copyright|terms of|conditions of|under the|spdx\S*)\b"
+#: What denies the words after it in its sentence, unless an exception follows.
+DENIES = r"\b(?:not|never|no longer|cannot|isn't|aren't|wasn't|nor|unlike|instead of|rather than)\b(?!.*\b(?:except|unless|without)\b).*?"
 #: Ordered rules over identifiers, each with the licence that it yields; $1 is the version.
 RULES = [
     (r"<agpl:([^>]*)>(?:<gpl:[^>]*>|<agpl:[^>]*>)*(?:<later:>)", "AGPL-$1-or-later"),
@@ -93,12 +106,22 @@ def sentences(text: Column) -> Column:
 
 
 def identifiers(text: Column) -> Column:
-    """The text's licence sentences as one string of <id:version>."""
-
-    def known(sentence: Column) -> Column:
-        found = [F.when(F.rlike(sentence, F.lit(pattern)), F.concat(F.lit(f"<{name}:"), _version(sentence, pattern), F.lit(">"))).otherwise("") for name, pattern in SENTENCES]
-        every = F.concat(*found)
-        return F.when((every == "") & F.rlike(sentence, F.lit(ASKS)), "<unknown:>").otherwise(every)
+    """The text's licence sentences as one string of <id:version>, each with its place: sentence and letter."""
+
+    def mark(name: str, pattern: str, sentence: Column, number: Column) -> Column:
+        holds = F.rlike(sentence, F.lit(pattern))
+        if name in NAMES or name == "unlicense":
+            holds = holds & ~F.rlike(sentence, F.lit(f"{DENIES}(?:{pattern})"))
+        if name in NAMES:
+            rest = F.regexp_replace(sentence, pattern, " ")
+            holds = holds & (F.rlike(rest, F.lit(FILLER)) | F.rlike(rest, F.lit(CUES)))
+        place = F.concat(F.lpad(number.cast("string"), 8, "0"), F.lpad(F.regexp_instr(sentence, F.lit(pattern)).cast("string"), 8, "0"))
+        return F.when(holds, F.concat(F.lit(f"<{name}:"), _version(sentence, pattern), F.lit(">"), place)).otherwise("")
+
+    def known(sentence: Column, number: Column) -> Column:
+        every = F.concat(*(mark(name, pattern, sentence, number) for name, pattern in SENTENCES))
+        asks = F.rlike(sentence, F.lit(ASKS)) & ~F.rlike(sentence, F.lit(f"{DENIES}{ASKS}"))
+        return F.when((every == "") & asks, F.concat(F.lit("<unknown:>"), F.lpad(number.cast("string"), 16, "0"))).otherwise(every)
 
     hinted = F.filter(sentences(text), lambda s: F.rlike(s, F.lit(HINT)) | F.rlike(s, F.lit(ASKS)))
     return F.when(F.rlike(text, F.lit(GATE)), F.array_join(F.transform(hinted, known), "")).otherwise("")
@@ -111,21 +134,25 @@ def _version(sentence: Column, pattern: str) -> Column:
 
 
 def match_rules(sequence: Column) -> Column:
-    """The licences of a sequence of identifiers: each rule takes out what it matches."""
-    rules = F.array(*(F.struct(F.lit(pattern).alias("pattern"), F.lit(licence).alias("licence")) for pattern, licence in RULES))
-    start = F.struct(sequence.alias("rest"), F.array().cast("array<string>").alias("found"))
+    """The licences of a sequence of identifiers, by place: each rule takes out what it matches."""
+    placed = [(re.sub(r"(?<!\^)>", r">\\d{16}", pattern), licence) for pattern, licence in RULES]
+    rules = F.array(*(F.struct(F.lit(pattern).alias("pattern"), F.lit(licence).alias("licence")) for pattern, licence in placed))
+    start = F.struct(sequence.alias("rest"), F.array().cast("array<struct<place:string,licence:string>>").alias("found"))
 
     def step(done: Column, rule: Column) -> Column:
         hits = F.regexp_extract_all(done["rest"], rule["pattern"], F.lit(0))
-        named = F.transform(hits, lambda h: F.regexp_replace(F.regexp_replace(h, rule["pattern"], rule["licence"]), r"-(?=-|$)", ""))
-        return F.struct(F.regexp_replace(done["rest"], rule["pattern"], F.lit("")).alias("rest"), F.concat(done["found"], named).alias("found"))
+        licence = lambda h: F.regexp_replace(F.regexp_replace(h, rule["pattern"], rule["licence"]), r"-(?=-|$)", "")
+        named = F.transform(hits, lambda h: F.struct(F.regexp_extract(h, r">(\d{16})", 1).alias("place"), licence(h).alias("licence")))
+        # what is taken out leaves a mark, so that its neighbours do not become a run
+        return F.struct(F.regexp_replace(done["rest"], rule["pattern"], F.lit(";")).alias("rest"), F.concat(done["found"], named).alias("found"))
 
-    found = F.aggregate(rules, start, step, lambda done: F.array_distinct(done["found"]))
+    found = F.aggregate(rules, start, step, lambda done: F.array_distinct(F.transform(F.array_sort(done["found"]), lambda x: x["licence"])))
     return F.when(sequence == "", F.array().cast("array<string>")).otherwise(found)
 
 
 def scan(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """Per row: its keys, ``sentence_ids`` in order of the text, and ``licenses``."""
-    found = df.select(*keys, identifiers(clean(text_col)).alias("ids"))
+    own = [F.col(f"`{name}`").alias(f"in_{k}") for k, name in enumerate(keys)]  # names may clash with those made here
+    found = df.select(*own, identifiers(clean(F.col(f"`{text_col}`"))).alias("ids"))
     ids = F.regexp_extract_all("ids", F.lit("<([^>]+)>"), F.lit(1))
-    return found.select(*keys, ids.alias("sentence_ids"), match_rules(F.col("ids")).alias("licenses"))
+    return found.select(*(F.col(f"in_{k}").alias(name) for k, name in enumerate(keys)), ids.alias("sentence_ids"), match_rules(F.col("ids")).alias("licenses"))
