@@ -82,10 +82,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns, and for documents whose id is divisible by 100 how many others are within the radius."""
     found = stash(simhash.sketch(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    asked = F.col("id") % 100 == 0
-    near = simhash.within(found, asked)
-    joined = found.join(near, F.when(asked, found["fingerprint"]) == near["fingerprint"], "left")
-    return joined.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", found["fingerprint"], "edited_fingerprint", "near_edited", "near_next", "n_within")
+    asked = F.coalesce(F.col("id") % 100 == 0, F.lit(False))
+    near = simhash.within(found, asked).select(F.col("fingerprint").alias("asked_for"), "n_within")
+    # rows that are no queries have no key: joined, they would all meet in one task
+    answered = found.where(asked).join(near, F.concat("fingerprint", F.lit("")) == F.col("asked_for"), "left").drop("asked_for")
+    rows = answered.unionByName(found.where(~asked).withColumn("n_within", F.lit(None).cast("bigint")))
+    return rows.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_within")
 
 
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
