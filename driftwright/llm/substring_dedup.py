@@ -193,7 +193,7 @@ def content_clusters(texts: DataFrame, contents: DataFrame) -> DataFrame | None:
     """
     keyed = contents.select(F.col("content").alias("id"), "low", "times", F.explode(F.array("key0", "key1")).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("key")
-    met = stash(keyed.join(shared.hint("shuffle_hash"), "key"))
+    met = stash(keyed.join(shared, "key"))
     if met.isEmpty():
         return None
     wanted = met.groupBy(F.col("id").alias("content")).agg(F.min("low").alias("low"))
@@ -210,7 +210,7 @@ def content_clusters(texts: DataFrame, contents: DataFrame) -> DataFrame | None:
         placed = placed.join(label.select(F.col("node").alias("id"), "component"), "id", "left").select("id", "key", F.coalesce("component", "id").alias("comp"))
     placed = stash(placed)
     several = placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-    open_ = placed.join(several.hint("shuffle_hash"), "key").groupBy("id").agg(F.min("comp").alias("comp"), F.collect_set("key").alias("keys"))
+    open_ = placed.join(several, "key").groupBy("id").agg(F.min("comp").alias("comp"), F.collect_set("key").alias("keys"))
     nodes = stash(open_.join(sets, "id").dropDuplicates(["id"]))
     looked = nodes.join(rare_shingles(nodes), "id")
     a, b = looked.alias("a"), looked.alias("b")
@@ -334,8 +334,8 @@ def live(paras: DataFrame) -> DataFrame:
     for k in range(BANDS):
         key = f"key{k}"
         met = paras.groupBy(key).agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select(key, F.lit(True).alias(f"met{k}"))
-        # the side with one row per key is hashed, so the paragraphs are not sorted; a hot key's are split by the skew join
-        out = out.join(met.hint("shuffle_hash"), key, "left")
+        # sorted and merged, so that no side must fit in memory; a hot key's paragraphs are split by the skew join
+        out = out.join(met, key, "left")
     return out.where(" or ".join(f"met{k}" for k in range(BANDS))).select(paras.columns)
 
 
@@ -355,7 +355,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
         owners = known.groupBy("cluster").agg(F.min("low").alias("kept_in"), F.max("high").alias("last")).where("kept_in < last")
         repeated = known.select("content", "cluster").join(owners.select("cluster", "kept_in"), "cluster")
     repeated = stash(repeated.select("content", "cluster", "kept_in"))
-    shown = paras.select("id", "content", "at", "words").join(repeated.hint("shuffle_hash"), "content")
+    shown = paras.select("id", "content", "at", "words").join(repeated, "content")
     shown = stash(shown.withColumn("at", F.col("at").cast("bigint")).withColumn("until", F.col("at") + F.col("words")).drop("words"))
     gone = shown.where("id <> kept_in")
     # neighbours: within a document, a paragraph follows another where that one's last word ends
